@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +20,34 @@ def cut(df: DataFrame) -> DataFrame:
     The folder is the session's ``spark.checkpoint.dir``; only a session that
     names none (tests, local mode) gets a temporary one.
     """
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        named = tempfile.mkdtemp(prefix="quaverlake-")
+        context.setCheckpointDir(named)
+    return named
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """As ``cut``, but as a Parquet table, for results of the order of the input."""
     spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
     context = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="quaverlake-"))
-    return df.checkpoint(eager=True)
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def text_key(text: Column | str) -> Column:
@@ -31,15 +56,6 @@ def text_key(text: Column | str) -> Column:
     return F.unhex(F.md5(F.coalesce(c, F.lit(""))))
 
 
-def text_classes(docs: DataFrame, text_col: str) -> DataFrame:
-    """One row (tk, text, copies) per different text, copies collapsed map-side first."""
-    return (
-        docs.select(text_key(text_col).alias("tk"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        .groupBy("tk")
-        .agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    )
-
-
 def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b), root the smallest node reachable.
 

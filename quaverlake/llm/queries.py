@@ -7,18 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaverlake.llm.common import table, text_key
+from quaverlake.llm.common import table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quaverlake.llm.substring_dedup import substring_classes
+    from quaverlake.llm.substring_dedup import substring_dedup
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = substring_classes(docs).select("tk", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("repeats").alias("n_repeats"))
-    return docs.select("doc_id", text_key("text").alias("tk")).join(found, "tk").drop("tk")
+    found = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("repeats").alias("n_repeats"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quaverlake.llm.packing import pack_documents
+
+    found = pack_documents(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup,)
+    f.__name__: f for f in (op1_substring_dedup, op10_best_fit_packing)
 }
 ORACLE_SQL: dict[str, str] = {}
