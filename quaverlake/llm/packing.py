@@ -9,6 +9,7 @@ then dealt to the fillings by their rank within their length, in parallel.
 from __future__ import annotations
 
 import bisect
+import sys
 import zlib
 from array import array
 from collections import Counter
@@ -215,7 +216,12 @@ def complete(counts: dict[int, int], capacity: int, nodes: int = 2000, width: in
             branch(after, [*made, (tuple(need.items()), times)], bins + times, idle)
 
     if used > bound:
-        branch(counts, [], 0, 0)
+        before = sys.getrecursionlimit()
+        sys.setrecursionlimit(max(before, 4 * nodes + 8 * capacity))
+        try:
+            branch(counts, [], 0, 0)
+        finally:
+            sys.setrecursionlimit(before)
     return incumbent
 
 

@@ -8,6 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaverlake.llm.common import table
+from quaverlake.llm.url_filters import Rule
+
+URL_RULES = [
+    Rule("org", "/", "allow"),
+    Rule("example.org", "/es/", "block"),
+    Rule("example.org", "/en/1", "block"),
+    Rule("com", "/fr/", "allow"),
+    Rule("com", "/de/", "block"),
+]
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +26,60 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("repeats").alias("n_repeats"))
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quaverlake.llm.mixing import mix_sources
+
+    drawn = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return drawn.select("doc_id", "source", "block", "tokens", F.round("weight", 9).alias("weight"))
+
+
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quaverlake.llm.embedding_dedup import embedding_links
+
+    return embedding_links(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quaverlake.llm.fingerprints import fingerprint_documents
+
+    return fingerprint_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quaverlake.llm.url_filters import judge_urls
+
+    judged = judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "trust", "distrust")
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quaverlake.llm.chat import format_conversations
+
+    return format_conversations(table(spark, sf_dir, "conversations")).withColumnRenamed("id", "conv_id")
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quaverlake.llm.html_text import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "visible_text")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quaverlake.llm.langid import predict, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    held_out = F.coalesce(held_out, F.lit(False))
+    model = train(docs.where(~held_out))
+    return predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quaverlake.llm.order_minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "class_texts", "class_rows", "kept")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quaverlake.llm.packing import pack_documents
 
@@ -25,6 +88,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op10_best_fit_packing)
+    f.__name__: f
+    for f in (op1_substring_dedup, op2_source_mixing, op3_embedding_dedup, op4_fingerprints, op5_url_filters, op6_chat_formatting, op7_html_text, op8_language_id, op9_order_minhash, op10_best_fit_packing)
 }
+
 ORACLE_SQL: dict[str, str] = {}

@@ -181,10 +181,11 @@ def substring_dedup(docs: DataFrame, text_col: str = "text", min_words: int = 35
     seeds = docs.where(F.octet_length(text_col) >= 2 * min_words - 1).select(F.struct(F.col(text_col)).alias("row"), text_key(text_col).alias("tk"))
     seeds = seeds.mapInArrow(_seeds(min_words, gram, text_col), "tk binary, ord int, anchor long, z1 long, z2 long")
     shared = seeds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), *(f(z).alias(f"{g}_{z}") for z in ("z1", "z2") for g, f in (("lo", F.min), ("hi", F.max))))
-    shared = shared.where("n > 1").select("anchor", F.expr("lo_z1 = hi_z1 and lo_z2 = hi_z2").alias("alike"))
+    # counts are stored, so that both sides of each join are dealt out for it and AQE can split a hot key
+    shared = stored(shared.where("n > 1").select("anchor", F.expr("lo_z1 = hi_z1 and lo_z2 = hi_z2").alias("alike")))
     hits = stored(seeds.join(shared, "anchor").select("tk", "ord", "alike", *(F.when(~F.col("alike"), F.col(z)).alias(z) for z in ("z1", "z2"))))
     mixed = hits.where("not alike").select("tk", "ord", "z1", "z2", F.xxhash64("tk", "ord").alias("pick"))
-    zones = mixed.groupBy("z1", "z2").agg(F.count(F.lit(1)).alias("n"), F.min("pick").alias("least"))
+    zones = stored(mixed.groupBy("z1", "z2").agg(F.count(F.lit(1)).alias("n"), F.min("pick").alias("least")))
     mixed = mixed.join(zones, ["z1", "z2"]).select("tk", "ord", (F.col("n") > 1).alias("whole"), (F.col("pick") == F.col("least")).alias("lists"))
     found = hits.where("alike").select("tk", "ord", F.lit(True).alias("whole"), F.lit(False).alias("lists")).unionByName(mixed)
     per_text = stored(
@@ -195,7 +196,7 @@ def substring_dedup(docs: DataFrame, text_col: str = "text", min_words: int = 35
     )
     listing = base.join(per_text.where(F.size("lists") > 0).select("tk", F.col("lists.ord").alias("ords"), F.col("lists.weight").alias("weights")), "tk")
     windows = stored(listing.select("row", "tk", "ords", "weights").mapInArrow(_windows(min_words, gram, text_col), "tk binary, start int, weight int, w1 long, w2 long"))
-    repeated = windows.groupBy("w1", "w2").agg(F.sum("weight").alias("n")).where("n > 1").select("w1", "w2")
+    repeated = stored(windows.groupBy("w1", "w2").agg(F.sum("weight").alias("n")).where("n > 1").select("w1", "w2"))
     single = windows.where("weight = 1").join(repeated, ["w1", "w2"]).select("tk", "start", F.lit(None).cast("array<int>").alias("whole"), F.lit(None).cast("long").alias("copies"))
     copies = docs.groupBy(text_key(text_col).alias("tk")).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
     nothing = F.lit(None).cast("int").alias("start")
