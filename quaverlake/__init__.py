@@ -1,0 +1 @@
+"""Annotation dataflows over media-like records, declared on Spark DataFrames."""
