@@ -157,12 +157,13 @@ def _temperature(logits: np.ndarray, target: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id", sample: int = 3000, bits: int = 15, alpha: float = 0.5, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-4, epochs: int = 3) -> LanguageModel:
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id", sample: int = 3000, bits: int = 15, alpha: float = 0.5, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-4, epochs: int = 3, gain: float = 20.0) -> LanguageModel:
     """Fit on ``docs``; rows without a language or a letter are not learned from.
 
     ``sample`` bounds how many rows the weights and the temperature are fitted on,
     about as many of each language; document frequencies use all rows. Languages
-    are few: they are listed on the driver.
+    are few: they are listed on the driver. ``gain`` scales the features (term
+    frequencies are shares of a text's n-grams, so they are small).
     """
     known = docs.select(F.xxhash64(F.lit("langid"), key_col).alias("pick"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(f"lang is not null and not ({NO_LETTER})")
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -181,12 +182,12 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_c
     rows = []
     for r in sorted(chosen.toLocalIterator(), key=lambda r: r["pick"]):
         at, tf = np.array(r["buckets"], dtype=np.int64), np.array(r["counts"], dtype=np.float64)
-        rows.append((at, tf / max(tf.sum(), 1.0) * idf[at], languages.index(r["lang"])))
+        rows.append((at, tf / max(tf.sum(), 1.0) * idf[at] * gain, languages.index(r["lang"])))
     held = len(rows) // 5
     weights, bias = ftrl(rows[held:], 1 << bits, len(languages), alpha, beta, l1, l2, epochs)
     logits = np.array([x @ weights[at] + bias for at, x, _ in rows[:held]]).reshape(-1, len(languages))
     temperature = _temperature(logits, np.array([t for _, _, t in rows[:held]], dtype=np.int64))
-    return LanguageModel(languages, (idf[:, None] * weights).astype(np.float32), bias, temperature, bits, total, len(rows))
+    return LanguageModel(languages, (gain * idf[:, None] * weights).astype(np.float32), bias, temperature, bits, total, len(rows))
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
