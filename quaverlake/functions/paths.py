@@ -7,6 +7,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 NAME_BYTES = 255
 
@@ -45,10 +46,13 @@ def _output_name(name: str | None) -> str | None:
     return name.encode()[: NAME_BYTES - len(tail)].decode("utf-8", "ignore") + tail
 
 
-@F.pandas_udf("string")
-def output_name(name: pd.Series) -> pd.Series:
+def output_name(name: Column | str) -> Column:
     """File name of an annotation; over-long ones are cut at a character and marked with a hash."""
-    return name.map(_output_name)
+
+    def run(names: pd.Series) -> pd.Series:
+        return names.map(_output_name)
+
+    return F.pandas_udf(run, StringType())(_col(name))
 
 
 def annotation_relpath(relpath: Column | str) -> Column:

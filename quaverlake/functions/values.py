@@ -100,12 +100,11 @@ def find_classes(value: Any) -> list[str] | None:
     return None
 
 
-ANSWER = "struct<choices:array<struct<finish_reason:string,message:struct<content:variant>>>>"
-
 
 def caption(body: Column | str) -> Column:
     """struct(caption, error) of a chat answer: first choice, not cut short, its text not empty."""
-    choice = F.from_json(_col(body), "struct<choices:array<struct<finish_reason:string,message:struct<content:string>>>>")["choices"][0]
+    choice = F.from_json(_col(body), "struct<choices:array<struct<finish_reason:string,message:struct<content:string>>>>")["choices"]
+    choice = F.get(choice, 0)
     content = choice["message"]["content"]
     parts = F.from_json(content, "array<struct<type:string,text:string>>")
     joined = F.array_join(F.transform(F.filter(parts, lambda p: p["text"].isNotNull()), lambda p: p["text"]), "")

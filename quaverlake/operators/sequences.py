@@ -106,9 +106,9 @@ def rectangle_means(totals: DataFrame, rectangles: DataFrame, keys: Keys, total:
     out = rectangles
     corners = {"a": ("i1", "j1"), "b": ("i0", "j1"), "c": ("i1", "j0"), "d": ("i0", "j0")}
     for name, (r, c) in corners.items():
-        corner = totals.select(*keys, (F.col("i") + 1).alias(f"__{name}i"), (F.col("j") + 1).alias(f"__{name}j"), F.col(total).alias(f"__{name}"))
-        on = [out[k] == corner[k] for k in keys] + [out[r] == corner[f"__{name}i"], out[c] == corner[f"__{name}j"]]
-        out = out.join(corner, on, "left").drop(*(corner[k] for k in keys), f"__{name}i", f"__{name}j")
+        corner = totals.select(*(F.col(k).alias(f"__{name}_{k}") for k in keys), (F.col("i") + 1).alias(f"__{name}i"), (F.col("j") + 1).alias(f"__{name}j"), F.col(total).alias(f"__{name}"))
+        on = [F.col(k) == F.col(f"__{name}_{k}") for k in keys] + [F.col(r) == F.col(f"__{name}i"), F.col(c) == F.col(f"__{name}j")]
+        out = out.join(corner, on, "left").drop(*(f"__{name}_{k}" for k in keys), f"__{name}i", f"__{name}j")
     part = {n: F.coalesce(F.col(f"__{n}"), F.lit(0.0)) for n in corners}
     area = (F.col("i1") - F.col("i0")) * (F.col("j1") - F.col("j0"))
     return out.withColumn("mean", F.when(area > 0, (part["a"] - part["b"] - part["c"] + part["d"]) / area).otherwise(F.lit(0.0))).drop(*(f"__{n}" for n in corners))

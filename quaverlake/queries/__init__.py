@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from quaverlake.queries import joins, scores, series, state, values  # noqa: F401  (they register)
+from quaverlake.queries.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
