@@ -1,0 +1,361 @@
+"""Each operator against brute force, and on nulls, empties, ties, repeats, empty tables and clashing columns."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from quaverlake.llm import chat, embedding_dedup, fingerprints, html_text, langid, mixing, order_minhash, packing, substring_dedup, url_filters
+from quaverlake.llm.common import connected_components
+from quaverlake.llm.queries import URL_RULES
+
+RNG = np.random.default_rng(5)
+VOCAB = [f"w{i}" for i in range(400)]
+
+
+def prose(n: int) -> str:
+    return " ".join(RNG.choice(VOCAB, n))
+
+
+def docs(spark, texts, more=""):
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+
+
+# -- substring dedup
+
+
+def brute_removal(texts, size):
+    words = [(t or "").split() for t in texts]
+    starts: dict = {}
+    for w in words:
+        for s in range(len(w) - size + 1):
+            starts[tuple(w[s : s + size])] = starts.get(tuple(w[s : s + size]), 0) + 1
+    out = []
+    for w in words:
+        gone = set()
+        for s in range(len(w) - size + 1):
+            if starts[tuple(w[s : s + size])] > 1:
+                gone |= set(range(s, s + size))
+        out.append(" ".join(x for i, x in enumerate(w) if i not in gone))
+    return out
+
+
+def test_substring_dedup(spark):
+    shared, other = prose(50), prose(36)
+    texts = [None, "", " \n", prose(34), prose(200) + " " + shared, shared + "\n" + prose(40), prose(20) + " " + other, other + " " + prose(3), "a " * 120, prose(80)]
+    texts += [texts[4], texts[3], texts[3], prose(15) + " " + shared[: len(shared) // 2] + " " + shared, " ".join([other.split()[0], *other.split()])]
+    df = docs(spark, texts).withColumn("n_words", F.lit("clash")).withColumn("row", F.lit(1)).withColumn("tk", F.lit(2))
+    got = {r["doc_id"]: r for r in substring_dedup.substring_dedup(df).collect()}
+    assert [got[i]["kept_text"] for i in range(len(texts))] == brute_removal(texts, 35)
+    for i, t in enumerate(texts):
+        assert got[i]["n_words"] == len((t or "").split()) and got[i]["n_removed"] == sum(r["end"] - r["begin"] for r in got[i]["repeats"]) and got[i]["row"] == 1
+    assert substring_dedup.substring_dedup(docs(spark, texts).limit(0)).count() == 0
+
+
+# -- mixing
+
+
+def test_mixing_meets_quotas(spark):
+    rows = [(i, "big" if i < 60 else ("small" if i < 66 else None), prose(10 + i % 7)) for i in range(90)] + [(None, "big", None), (7, "small", "  ")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumn("block", F.lit("clash"))
+    out = mixing.mix_sources(df, target_entropy=0.9, bucket_rows=4).collect()
+    total = sum(len((t or "").split()) for _, _, t in rows)
+    longest = max(len((t or "").split()) for _, _, t in rows)
+    weights, drawn = {}, {}
+    for r in out:
+        if r["tokens"]:
+            weights[r["source"]] = r["weight"]
+            drawn[r["source"]] = drawn.get(r["source"], 0) + r["tokens"]
+    assert sum(weights.values()) == pytest.approx(1)
+    p = np.array(list(weights.values()))
+    assert -(p * np.log(p)).sum() >= 0.9 * np.log(3) - 1e-6
+    for s, w in weights.items():
+        assert -1e-6 <= drawn[s] - w * total < longest + 1e-6
+    assert sum(r["tokens"] == 0 for r in out) == 2
+    blocks: dict = {}
+    for r in out:
+        blocks.setdefault((r["doc_id"], r["source"], r["text"]), []).append(r["block"])
+    assert all(sorted(b) == list(range(len(b))) for b in blocks.values())
+    covered = mixing.mix_sources(df, max_repetition=1.5, cover=True).collect()
+    assert {r["doc_id"] for r in covered} == {r[0] for r in rows} and max(r["block"] for r in covered) <= 1
+    assert mixing.mix_sources(df.limit(0)).count() == 0
+
+
+# -- embeddings
+
+
+def test_embedding_links(spark):
+    base = RNG.standard_normal((40, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(base)]
+    rows += [(100 + i, (base[0] + 0.05 * RNG.standard_normal(16)).tolist()) for i in range(30)]
+    rows += [(200, base[3].tolist()), (201, base[3].tolist()), (202, (base[3] * 7).tolist()), (203, None), (204, [0.0] * 16), (205, [float("nan")] * 16), (206, [1.0, None]), (207, []), (208, base[3][:8].tolist()), (None, base[3].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("id", F.lit("clash"))
+    got = embedding_dedup.embedding_links(df, window=8, block=8).collect()
+    assert len(got) == len(rows)
+    good = [(i, np.array(v)) for i, v in rows if v and len(v) == 16 and None not in v and np.isfinite(v).all() and any(v)]
+    x = np.stack([v / np.linalg.norm(v) for _, v in good])
+    near = x @ x.T >= 0.95
+    want = {i: int(n) - 1 for (i, _), n in zip(good, near.sum(axis=1), strict=True)}
+    for r in got:
+        assert r["n_links"] == want.get(r["id"], 0)
+    by = {r["id"]: r for r in got}
+    assert by[202]["component_id"] == 3 and not by[202]["kept"] and by[3]["kept"] and by[204]["kept"] and by[115]["component_id"] == 0
+    assert embedding_dedup.embedding_links(df.limit(0)).count() == 0
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (102, 102), (100, 105)]
+    got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in (100, 101, 105)}}
+
+
+# -- fingerprints
+
+
+def test_fingerprints(spark):
+    texts = [prose(300), "", None, "one", prose(40).replace(" ", "\n", 5), "  \n ", prose(2000), prose(9)]
+    rows = [(i * 3, t) for i, t in enumerate(texts)] + [(None, "null id"), (9, "one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit(1)).repartition(3)
+    got = fingerprints.fingerprint_documents(df).collect()
+    ordered = sorted(((-1 if i is None else i, t or "") for i, t in rows))
+    want = []
+    for k, (_, t) in enumerate(ordered):
+        nxt, m = ordered[(k + 1) % len(ordered)][1], len(t) // 4
+        want.append((len(t), hashlib.sha256((t[: len(t) - m] + nxt[:m]).encode()).hexdigest()))
+    assert sorted((r["n_chars"], r["edited_sha256"]) for r in got) == sorted(want)
+    by = {r["id"]: r for r in got}
+    assert by[0]["near_edited"] > 0.6 > 0.2 > by[0]["near_next"] and by[0]["near_edited"] == fingerprints.likeness(by[0]["fingerprint"], by[0]["edited_fingerprint"])
+    nines = [r for r in got if r["id"] == 9]
+    assert len(nines) == 2 and nines[0]["fingerprint"] == nines[1]["fingerprint"] and {r["near_next"] for r in nines} & {1.0}
+    single = fingerprints.fingerprint_documents(docs(spark, [texts[0]])).collect()
+    assert len(single) == 1 and single[0]["near_next"] == 1.0
+    assert fingerprints.fingerprint_documents(df.limit(0)).count() == 0
+
+
+def test_tree_locates_edits():
+    lines = [prose(20) for _ in range(12)]
+    changed = [*lines[:5], lines[5] + " more", *lines[6:]]
+    (a, _), (b, _), (c, _) = fingerprints.fingerprints(["\n".join(lines), "\n".join(changed), "\n".join(lines)])
+    assert a == c and fingerprints.differences(a, c) == []
+    where = fingerprints.differences(b, a)
+    sections = fingerprints.tree(b)[1]
+    flat = [(i, j) for i, (_, s) in enumerate(sections) for j in range(len(s))]
+    assert where and {flat.index((i, j)) for i, j, _ in where} == {5}
+
+
+# -- url filters
+
+
+def test_url_rules_and_graph(spark):
+    link = lambda *hosts: "".join(f'<a class="x" href="https://{h}/p">y</a>' for h in hosts)
+    rows = [
+        (1, "HTTPS://WWW.Example.ORG/es/x?q#f", link("spam.net")),
+        (2, "http://a.example.org/en/12", None),
+        (3, "http://example.org", ""),
+        (4, "http://shop.com/de/1", link("friend.net")),
+        (5, "http://shop.com/de/2", None),
+        (6, "http://friend.net/x", link("shop.com") * 3),
+        (7, "http://news.org/a", link("good.net")),
+        (8, "http://good.net/a", None),
+        (9, None, link("x.com")),
+        (10, "no scheme", None),
+        (11, "http://forg/", None),
+        (11, "http://forg/", None),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("clash"))
+    got = {r["id"]: r for r in url_filters.judge_urls(df, URL_RULES).collect()}
+    assert {k: (r["host"], r["path"], r["rule"], r["verdict"]) for k, r in got.items() if k < 5} == {
+        1: ("www.example.org", "/es/x", "example.org/es/", "block"),
+        2: ("a.example.org", "/en/12", "example.org/en/1", "block"),
+        3: ("example.org", "", None, "allow"),
+        4: ("shop.com", "/de/1", "com/de/", "block"),
+    }
+    assert got[6]["verdict"] == "block" and got[6]["distrust"] > got[6]["trust"] and got[8]["verdict"] == "allow" and got[8]["trust"] > 0
+    assert (got[9]["host"], got[9]["path"], got[9]["verdict"], got[10]["host"], got[11]["rule"]) == ("", "", "allow", "", None)
+    assert url_filters.judge_urls(df.limit(0), URL_RULES).count() == 0
+
+
+# -- chat
+
+
+def test_chat_collapse(spark):
+    turns = [("user", "a"), ("assistant", "b"), ("user", None), (None, "d")]
+    rows = [(1, i, *t) for i, t in enumerate(turns[:2])] + [(2, i, *t) for i, t in enumerate(turns)] + [(3, i, *t) for i, t in enumerate(turns)]
+    rows += [(4, 0, "user", "a"), (4, 1, "assistant", "other"), (5, 0, "user", ""), (6, 0, "user", None), (7, None, "user", "a"), (4, 1, "assistant", "other"), (None, 0, "system", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("id", F.lit("clash"))
+    got = {r["id"]: r for r in chat.format_conversations(df).collect()}
+    assert sorted(got, key=str) == sorted([2, 4, 5, 6, None], key=str)
+    assert got[2]["n_turns"] == 4 and got[2]["n_collapsed"] == 1 and got[4]["n_turns"] == 2
+    assert got[2]["rendered"] == "<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nb<|im_end|>\n<|im_start|>user\n<|im_end|>\n<|im_start|>unknown\nd<|im_end|>\n"
+    assert chat.format_conversations(df.limit(0)).count() == 0
+
+
+# -- html
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("", ""),
+        ("plain &amp; simple", "plain & simple"),
+        ("<p>one<p>two<br>three", "one\n\ntwo\nthree"),
+        ("<title>t</title><script>var a='</p>';</script><style>p{}</style><div>x</div>y", "x\ny"),
+        ("<ul><li>a<li>b<ul><li>c</ul></ul><ol start=3><li>d<li>e</ol>", "- a\n- b\n  - c\n\n3. d\n4. e"),
+        ("<table><tr><th>Name<th>N<tr><td>Ann<td>1<tr><td>Bartholomew<td>22</table>", "Name         N\nAnn          1\nBartholomew  22"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a  b\n   c"),
+        ("<pre>a\n  b</pre>", "a\n  b"),
+        ("<p hidden>no</p><p style='display: none'>no</p><span>yes</span>", "yes"),
+        ("<b>bo<i>th</b>x</i> y</p>z", "bothx y\n\nz"),
+        ("<!-- a --><!DOCTYPE html>t<![CDATA[x]]>", "t"),
+        ("a<", "a<"),
+        ("<div>" * 3000 + "deep", "deep"),
+    ],
+)
+def test_render(html, text):
+    assert html_text.render(html) == text
+
+
+def test_extract(spark):
+    df = spark.createDataFrame([(1, "<p>a"), (2, None), (2, None), (3, "")], "page_id long, html string").withColumn("visible_text", F.lit(5)).withColumn("row", F.lit(1))
+    got = sorted((r["page_id"], r["visible_text"], r["row"]) for r in html_text.extract_text(df).na.fill("∅").collect())
+    assert got == [(1, "a", 1), (2, "∅", 1), (2, "∅", 1), (3, "", 1)]
+    assert html_text.extract_text(df.limit(0)).count() == 0
+
+
+# -- language
+
+
+def test_language_id(spark, data):
+    df = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "lang")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    model = langid.train(df.where(~held))
+    assert model.languages == ["de", "en", "es", "fr"]
+    out = langid.predict(df.where(held), model).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in out]) >= 0.95 and all(0 <= r["score"] <= 1 for r in out)
+    odd = spark.createDataFrame([(None, None), (1, ""), (1, "12 !?"), (2, "é"), (3, "the of and " * 5000)], "doc_id long, text string").withColumn("score", F.lit("clash")).withColumn("row", F.lit(0))
+    got = {(r["doc_id"], (r["text"] or "")[:5]): r for r in langid.predict(odd, model).collect()}
+    assert [got[k]["lang_pred"] for k in ((None, ""), (1, ""), (1, "12 !?"))] == ["und"] * 3 and got[(3, "the o")]["lang_pred"] == "en"
+    assert langid.predict(odd.limit(0), model).count() == 0
+    assert langid.train(df.limit(0)).languages == [] and langid.predict(odd, langid.train(df.limit(0))).first()["lang_pred"] == "und"
+
+
+# -- order MinHash
+
+
+def brute_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        prev, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
+    return row[-1]
+
+
+def test_banded_alignment():
+    for _ in range(300):
+        a = RNG.integers(0, 30, RNG.integers(0, 90)).astype(np.uint32)
+        b = a.copy()
+        for _ in range(RNG.integers(0, 40)):
+            at = RNG.integers(0, len(b) + 1)
+            b = np.concatenate([b[:at], RNG.integers(0, 30, RNG.integers(0, 2)).astype(np.uint32), b[at + RNG.integers(0, 2) :]])
+        limit = int(RNG.integers(0, 50))
+        d = brute_edits(a.tolist(), b.tolist())
+        assert order_minhash.edits_within(a, b, limit, quick=int(RNG.integers(0, 25))) == (d if d <= limit else limit + 1)
+
+
+def test_near_duplicates(spark):
+    def edited(t, n):
+        w = t.split()
+        for i in RNG.choice(len(w), n, replace=False):
+            w[i] = f"e{RNG.integers(1000)}"
+        return " ".join(w)
+
+    a, b = prose(120), prose(60)
+    texts = [a, edited(a, 2), a.upper(), a, edited(a, 3), b, edited(b, 1), prose(100), prose(100), None, "", "  ", "two words", "two words", "two word", prose(4)]
+    df = docs(spark, texts).withColumn("kept", F.lit("clash")).withColumn("tk", F.lit(1))
+    marked = order_minhash.near_duplicates(df)
+    got = {r["doc_id"]: r for r in marked.collect()}
+    assert [got[i]["class_id"] for i in range(len(texts))] == [0, 0, 0, 0, 0, 5, 5, 7, 8, 9, 9, 11, 12, 12, 14, 15]
+    assert got[0]["class_rows"] == 5 and got[0]["class_texts"] == 4 and [i for i in got if got[i]["kept"]] == sorted({r["class_id"] for r in got.values()})
+    assert order_minhash.near_duplicates(df.limit(0)).count() == 0
+    twice = order_minhash.near_duplicates(docs(spark, ["x y"]).union(docs(spark, ["x y"])).union(spark.createDataFrame([(None, "z")], "doc_id long, text string")))
+    assert sorted((r["doc_id"] is None, r["doc_id"]) for r in order_minhash.keep_one(twice).collect()) == [(False, 0), (True, None)]
+
+
+# -- packing
+
+
+def test_packing(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [prose(int(n)) for n in RNG.integers(1, 700, 60)] + [None, "", "", "a  b\n\n c", "<|endoftext|> x", " lead", "don't  stop ", "日本語 text"]
+    df = docs(spark, texts).withColumn("length", F.lit("clash"))
+    rows = packing.pack_documents(df, keep_ids=True, group=7).collect()
+    used: dict = {}
+    for r in rows:
+        used.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        ids = np.array(r["ids"]).astype("<u4")
+        assert len(ids) == r["length"] <= 1024 and zlib.crc32(ids.tobytes()) == r["crc"]
+    for spans in used.values():
+        spans.sort()
+        assert [o for o, _ in spans] == np.concatenate([[0], np.cumsum([n for _, n in spans])[:-1]]).tolist() and sum(n for _, n in spans) <= 1024
+    for i, t in enumerate(texts):
+        own = sorted((r for r in rows if r["id"] == i), key=lambda r: r["piece"])
+        assert sum((r["ids"] for r in own), []) == tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
+        assert all(r["length"] == 1024 for r in own[1:]) and [r["start"] for r in own] == np.concatenate([[0], np.cumsum([r["length"] for r in own])[:-1]]).tolist()
+    total = sum(r["length"] for r in rows)
+    assert len(used) <= -(-total // 1024) + 1
+    assert packing.pack_documents(df.limit(0)).count() == 0
+
+
+def exact_bins(items, capacity):
+    best = [len(items)]
+
+    def place(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(bins)
+            return
+        for k in range(len(bins)):
+            if bins[k] + items[i] <= capacity:
+                bins[k] += items[i]
+                place(i + 1, bins)
+                bins[k] -= items[i]
+        bins.append(items[i])
+        place(i + 1, bins)
+        bins.pop()
+
+    place(0, [])
+    return best[0]
+
+
+def test_bin_completion_is_optimal_on_small_cases():
+    for _ in range(60):
+        items = sorted(RNG.integers(5, 60, RNG.integers(1, 10)).tolist(), reverse=True)
+        counts: dict = {}
+        for x in items:
+            counts[x] = counts.get(x, 0) + 1
+        made = packing.complete(counts, 60)
+        back: dict = {}
+        for filling, n in made:
+            assert sum(k * m for k, m in filling) <= 60
+            for k, m in filling:
+                back[k] = back.get(k, 0) + m * n
+        assert back == counts and sum(n for _, n in made) == exact_bins(items, 60) >= packing.lower_bound(counts, 60)
+
+
+def test_wordhash_windows_match_words():
+    from quaverlake.llm.wordhash import Words
+
+    words = Words(pa.array(["a b  c\n", None, "b c", "", "x\tb c"]))
+    assert np.diff(words.first).tolist() == [3, 0, 2, 0, 3]
+    h = words.window_hash(np.array([1, 3, 6]), np.array([3, 5, 8]))
+    assert h[0] == h[1] == h[2]
