@@ -1,8 +1,8 @@
 """Near-duplicate classes by order MinHash, verified by banded alignment.
 
 A text's k-mers are runs of ``k`` words, labelled by how often they occurred before
-in the text. Each of ``bands`` permutations chooses the ``per_sketch`` smallest and
-keeps them in text order, so a sketch is sensitive to order as edit distance is.
+in the text. Their hashes are dealt to ``bands`` bands; each keeps the ``per_sketch``
+smallest in text order, so a sketch is sensitive to order as edit distance is.
 Texts that share a sketch are candidates; each is aligned, word by word and within
 the band its length allows, with the bucket's leaders only, in rounds until every
 member is linked or has led. Classes are the connected components of the links.
@@ -10,7 +10,6 @@ member is linked or has led. Classes are the connected components of the links.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,27 +20,33 @@ from pyspark.sql import functions as F
 from quaverlake.llm.common import connected_components, stored, text_key
 from quaverlake.llm.wordhash import Words, blocks, mix
 
-_TOP = np.uint64(2**64 - 1)
-
-
 def _ranks(keys: np.ndarray) -> np.ndarray:
-    """How often each key occurred before."""
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
-    new = np.append(True, ordered[1:] != ordered[:-1])
-    at = np.flatnonzero(new)
-    out = np.empty(len(keys), dtype=np.uint64)
-    out[order] = np.arange(len(keys)) - np.repeat(at, np.diff(np.append(at, len(keys))))
+    """How often each key occurred before; few keys occur twice, so only those are sorted by place."""
+    out = np.zeros(len(keys), dtype=np.uint64)
+    ordered = np.sort(keys)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return out
+    place = np.minimum(np.searchsorted(twice, keys), len(twice) - 1)
+    at = np.flatnonzero(twice[place] == keys)
+    order = at[np.argsort(keys[at], kind="stable")]
+    new = np.append(True, keys[order][1:] != keys[order][:-1])
+    first = np.flatnonzero(new)
+    out[order] = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
     return out
 
 
-def sketches(texts: pa.Array, k: int, bands: int, per_sketch: int) -> tuple[np.ndarray, np.ndarray]:
-    """(texts with a word, their sketches by band)."""
+def sketches(texts: pa.Array, k: int, bands: int, per_sketch: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, band, sketch) of every band in which a text has a k-mer.
+
+    Hashed k-mers are dealt to bands; in each, the ``per_sketch`` smallest (all, if
+    there are fewer) are kept in text order. A text under ``k`` words is one k-mer.
+    """
     words = Words(texts, lanes=1, fold=True)
     n_words = np.diff(words.first)
     some = np.flatnonzero(n_words)
     if not len(some):
-        return some, np.zeros((0, bands), np.int64)
+        return some, some, some
     counts = np.maximum(n_words[some] - k + 1, 1)
     first = np.cumsum(counts) - counts
     owner = np.repeat(np.arange(len(some)), counts)
@@ -49,26 +54,22 @@ def sketches(texts: pa.Array, k: int, bands: int, per_sketch: int) -> tuple[np.n
     grams = words.window_hash(begin, np.minimum(begin + k, words.first[some + 1][owner]))
     salt = mix(owner.astype(np.uint64) + np.uint64(1))
     labelled = mix(grams + _ranks(grams ^ salt) * np.uint64(0x9E3779B97F4A7C15))
-    out = np.empty((len(some), bands), dtype=np.int64)
-    take = min(per_sketch, int(counts.max()))
-    for band in range(bands):
-        factor = mix(np.array([2 * band + 1], dtype=np.uint64))[0] | np.uint64(1)
-        value = labelled * factor
-        chosen = np.zeros((len(some), per_sketch), dtype=np.int64)
-        for j in range(take):
-            least = np.minimum.reduceat(value, first)
-            at = np.flatnonzero(value == least[owner])
-            text, lead = np.unique(owner[at], return_index=True)
-            chosen[text, j] = at[lead]
-            value[at[lead]] = _TOP
-        few = np.arange(per_sketch)[None, :] >= counts[:, None]
-        chosen = np.where(few, first[:, None], chosen)
-        chosen.sort(axis=1)
-        sketch = np.full(len(some), band, dtype=np.uint64)
-        for j in range(per_sketch):
-            sketch = mix(sketch * np.uint64(3) + labelled[chosen[:, j]])
-        out[:, band] = sketch.view(np.int64)
-    return some, out
+    group = owner * bands + (labelled % np.uint64(bands)).astype(np.int64)
+    bits = max(1, int(group[-1] + bands).bit_length())
+    order = np.argsort((group.astype(np.uint64) << np.uint64(64 - bits)) | (labelled >> np.uint64(bits)))
+    dealt = group[order]
+    start = np.flatnonzero(np.append(True, dealt[1:] != dealt[:-1]))
+    size = np.diff(np.append(start, len(dealt)))
+    chosen = np.full((len(start), per_sketch), len(owner), dtype=np.int64)
+    for j in range(per_sketch):
+        have = size > j
+        chosen[have, j] = order[start[have] + j]
+    chosen.sort(axis=1)
+    padded = np.append(labelled, np.uint64(0))
+    sketch = dealt[start].astype(np.uint64) % np.uint64(bands)
+    for j in range(per_sketch):
+        sketch = mix(sketch * np.uint64(3) + padded[chosen[:, j]])
+    return some[dealt[start] // bands], dealt[start] % bands, sketch.view(np.int64)
 
 
 def _sketch(text_col: str, k: int, bands: int, per_sketch: int):
@@ -81,10 +82,9 @@ def _sketch(text_col: str, k: int, bands: int, per_sketch: int):
             keep = [i for i, key in enumerate(keys) if not (key in met or met.add(key))]
             batch = batch.take(pa.array(keep, pa.int64()))
             for low, high in blocks(batch.column(1)):
-                some, found = sketches(batch.column(1).slice(low, high - low), k, bands, per_sketch)
-                if len(some):
-                    key = batch.column(0).take(pa.array(np.repeat(low + some, bands)))
-                    yield pa.RecordBatch.from_arrays([key, pa.array(np.tile(np.arange(bands, dtype=np.int32), len(some))), pa.array(found.ravel())], names=["tk", "band", "sketch"])
+                text, band, found = sketches(batch.column(1).slice(low, high - low), k, bands, per_sketch)
+                if len(text):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(low + text)), pa.array(band.astype(np.int32)), pa.array(found)], names=["tk", "band", "sketch"])
 
     return run
 
@@ -103,34 +103,46 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(tokens, pa.binary())], names=["tk", "tokens"])
 
 
-def _banded(a: np.ndarray, b: np.ndarray, limit: int) -> int:
-    """Word edit distance by rows within ``limit`` of the diagonal; limit + 1 if over."""
-    n, m = len(a), len(b)
-    far = limit + 1
-    width = 2 * limit + 1
-    shift = np.arange(width)
-    row = np.where((shift >= limit) & (shift - limit <= m), shift - limit, far).astype(np.int32)
-    padded = np.full(n + m + 2 * width + 2, -1, dtype=np.int64)
-    padded[limit : limit + m] = b
-    for i in range(1, n + 1):
-        column = i - limit + shift
-        step = row + (padded[i - 1 : i - 1 + width] != a[i - 1])
-        step[:-1] = np.minimum(step[:-1], row[1:] + 1)
-        step[(column < 0) | (column > m)] = far
-        if column[0] <= 0 <= column[-1]:
-            step[-column[0]] = min(i, far)
-        row = np.minimum.accumulate(step - shift) + shift
-        row[(column < 0) | (column > m)] = far
-        if row.min() > limit:
-            return far
-    return int(min(row[m - n + limit], far))
-
-
-def edits_within(a: np.ndarray, b: np.ndarray, limit: int, quick: int = 24) -> int:
+def _banded(a: list[int], b: list[int], limit: int) -> int:
+    """Edit distance of a (the longer) and b along a band of ``limit`` diagonals either way.
+
+    A column of the band is two bit vectors, where the distance rises and falls going
+    down; the band moves one row down with each column, and its lowest cell's distance
+    is carried along, first down the diagonal, then along the last row.
+    """
+    width = 2 * limit + 2
+    full, corner, along = (1 << width) - 1, 1 << (width - 1), 1 << (width - 2)
+    places: dict[int, int] = {}
+    bit = 1
+    for token in a:
+        places[token] = places.get(token, 0) | bit
+        bit <<= 1
+    rises, falls = ((1 << (limit + 1)) - 1) << (width - limit - 1), 0
+    shift = limit + 1 - width
+    distance, most, turn = limit, 2 * limit + len(b) - len(a), len(a) - limit
+    for i, token in enumerate(b):
+        equal = places.get(token, 0)
+        equal = (equal >> shift if shift >= 0 else equal << -shift) & full
+        same = ((((equal & rises) + rises) ^ rises) | equal | falls) & full
+        right_up, right_down = (falls | ~(same | rises)) & full, same & rises
+        if i < turn:
+            distance += not same & corner
+            if distance > most:
+                return limit + 1
+        else:
+            distance += bool(right_up & along) - bool(right_down & along)
+            along >>= 1
+        down = same >> 1
+        rises, falls = (right_down | ~(down | right_up)) & full, down & right_up
+        shift += 1
+    return distance if distance <= limit else limit + 1
+
+
+def edits_within(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     """Word edit distance of two token arrays if at most ``limit``, else limit + 1.
 
-    A bound from shared trigrams (an edit destroys three at most) comes first, then
-    furthest-reaching paths for few edits, then the banded table.
+    What they begin and end with alike is set aside; then a bound from shared
+    trigrams (an edit destroys three at most), then banded alignment.
     """
     n, m = len(a), len(b)
     if abs(n - m) > limit:
@@ -153,29 +165,14 @@ def edits_within(a: np.ndarray, b: np.ndarray, limit: int, quick: int = 24) -> i
         _, i, j = np.intersect1d(left, right, assume_unique=True, return_indices=True)
         if max(n, m) - 2 - np.minimum(n_left[i], n_right[j]).sum() > 3 * limit:
             return limit + 1
-    unequal: dict[int, list[int]] = {}
-
-    def slide(k: int, i: int) -> int:
-        if k not in unequal:
-            lo, hi = max(0, -k), min(n, m - k)
-            unequal[k] = [*(lo + np.flatnonzero(a[lo:hi] != b[lo + k : hi + k])).tolist(), hi]
-        found = unequal[k]
-        return found[min(bisect_left(found, i), len(found) - 1)]
-
-    reach = {0: slide(0, 0)}
-    if reach[0] >= n and n == m:
-        return 0
-    for d in range(1, min(limit, quick) + 1):
-        after = {}
-        for k in range(-min(d, n), min(d, m) + 1):
-            i = max(reach.get(k, -2) + 1, reach.get(k - 1, -1), reach.get(k + 1, -2) + 1)
-            i = min(i, n, m - k)
-            if i >= max(0, -k):
-                after[k] = slide(k, i)
-        reach = after
-        if reach.get(m - n, -1) >= n:
-            return d
-    return limit + 1 if limit <= quick else _banded(a.astype(np.int64), b.astype(np.int64), limit)
+    if n < m:
+        a, b = b, a
+    return _banded(a.tolist(), b.tolist(), min(limit, max(n, m))) if limit < max(n, m) else _whole(a, b)
+
+
+def _whole(a: np.ndarray, b: np.ndarray) -> int:
+    """Distance where the band would be wider than the table; both are short then."""
+    return _banded(a.tolist(), b.tolist(), len(a))
 
 
 def _verify(similarity: float):
@@ -192,7 +189,7 @@ def _verify(similarity: float):
     return run
 
 
-def near_links(docs: DataFrame, text_col: str, k: int = 5, similarity: float = 0.8, bands: int = 20, per_sketch: int = 4) -> DataFrame:
+def near_links(docs: DataFrame, text_col: str, k: int = 5, similarity: float = 0.8, bands: int = 12, per_sketch: int = 3) -> DataFrame:
     """Verified links (a, b) between keys of different texts."""
     texts = docs.select(text_key(f"`{text_col}`").alias("tk"), F.col(f"`{text_col}`").alias("text"))
     drawn = stored(texts.mapInArrow(_sketch(text_col, k, bands, per_sketch), "tk binary, band int, sketch long")).distinct()
@@ -221,7 +218,7 @@ def near_links(docs: DataFrame, text_col: str, k: int = 5, similarity: float = 0
         spread = 8
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, bands: int = 20, per_sketch: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, bands: int = 12, per_sketch: int = 3) -> DataFrame:
     """``docs`` with class_id (smallest id of the class), class_texts, class_rows and kept added.
 
     Equal texts are one class whatever their length; different ones link when one

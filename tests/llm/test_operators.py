@@ -265,7 +265,7 @@ def test_banded_alignment():
             b = np.concatenate([b[:at], RNG.integers(0, 30, RNG.integers(0, 2)).astype(np.uint32), b[at + RNG.integers(0, 2) :]])
         limit = int(RNG.integers(0, 50))
         d = brute_edits(a.tolist(), b.tolist())
-        assert order_minhash.edits_within(a, b, limit, quick=int(RNG.integers(0, 25))) == (d if d <= limit else limit + 1)
+        assert order_minhash.edits_within(a, b, limit) == (d if d <= limit else limit + 1)
 
 
 def test_near_duplicates(spark):
