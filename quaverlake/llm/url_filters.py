@@ -80,7 +80,7 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return found.where("src <> '' and dst <> src").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", damping: float = 0.85, rounds: int = 30, tolerance: float = 1e-6, threshold: float = 1.0) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", damping: float = 0.85, rounds: int = 30, tolerance: float = 1e-6, threshold: float = 0.5) -> DataFrame:
     """(id, host, path, rule, verdict, trust, distrust), one row per page.
 
     A null url, or one without ``://``, has an empty host and path, fits no rule and is
