@@ -224,9 +224,9 @@ def _walk(node: Node, flow: _Flow) -> None:
             if item.attributes.get("alt"):
                 flow.text(" " + item.attributes["alt"] + " ")
         elif tag in ("ul", "ol", "menu", "dir"):
-            flow.block(True)
+            flow.block(_DEPTH == 0)  # a list inside another has no space around it
             flow.put(_list(item))
-            flow.block(True)
+            flow.block(_DEPTH == 0)
         elif tag == "table":
             flow.block(True)
             flow.put(_table(item))
