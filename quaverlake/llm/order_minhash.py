@@ -3,9 +3,11 @@
 A text's k-mers are runs of ``k`` words, labelled by how often they occurred before
 in the text. Their hashes are dealt to ``bands`` bands; each keeps the ``per_sketch``
 smallest in text order, so a sketch is sensitive to order as edit distance is.
-Texts that share a sketch are candidates; each is aligned, word by word and within
-the band its length allows, with the bucket's leaders only, in rounds until every
-member is linked or has led. Classes are the connected components of the links.
+Texts that share a sketch are candidates: each is aligned, word by word and within
+the band its length allows, with its bucket's leader. Those unlike it (a passage that
+many texts share brings such buckets about) are dealt anew by a second sketch they
+have in common, and led in rounds until every member is linked or has led. Classes
+are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -211,6 +213,10 @@ def near_links(docs: DataFrame, text_col: str, k: int = 5, similarity: float = 0
         # who led, or was linked in this bucket, is done there; the others go on by themselves
         done = rows.join(leads, ["band", "sketch"]).join(judged, ["tk", "lead"], "left").groupBy("band", "sketch", "tk").agg(F.max(F.expr("tk = lead or coalesce(alike, false)")).alias("done"))
         open_rows = done.where("not done").select("tk", "band", "sketch")
+        if spread == 1:
+            other = drawn.select("tk", F.col("band").alias("band2"), F.col("sketch").alias("sketch2"))
+            open_rows = open_rows.join(other, "tk").where("band <> band2")
+            open_rows = stored(open_rows.select("tk", (F.col("band") * bands + F.col("band2")).alias("band"), F.xxhash64("sketch", "sketch2").alias("sketch")))
         still = open_rows.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "sketch")
         rows = stored(open_rows.join(still, ["band", "sketch"]))
         if rows.isEmpty():
