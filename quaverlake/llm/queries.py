@@ -92,4 +92,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_substring_dedup, op2_source_mixing, op3_embedding_dedup, op4_fingerprints, op5_url_filters, op6_chat_formatting, op7_html_text, op8_language_id, op9_order_minhash, op10_best_fit_packing)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+h AS (SELECT doc_id, s, md5(array_to_string(w[s : s + 34], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS s FROM d WHERE len(w) >= 35)),
+r AS (SELECT doc_id, s FROM h WHERE h IN (SELECT h FROM h GROUP BY h HAVING count(*) > 1)), x AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS i FROM r),
+e AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d),
+m AS (SELECT e.doc_id, e.i, word, x.i IS NOT NULL AS gone, coalesce(lag(x.i IS NOT NULL) OVER (PARTITION BY e.doc_id ORDER BY e.i), false) AS before FROM e LEFT JOIN x ON x.doc_id = e.doc_id AND x.i = e.i),
+k AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE gone) AS g, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept, count(*) FILTER (WHERE gone AND NOT before) AS runs FROM m GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0) AS n_words, coalesce(g, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256, coalesce(runs, 0)::INT AS n_repeats FROM d LEFT JOIN k USING (doc_id)""",
+    "op3_embedding_dedup": """WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings), u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95),
+r AS (SELECT vec_id AS v, vec_id AS m FROM embeddings UNION SELECT r.v, l.b FROM r JOIN l ON l.a = r.m), c AS (SELECT v, min(m) AS m FROM r GROUP BY 1), k AS (SELECT a, count(*) AS n FROM l GROUP BY 1)
+SELECT v AS vec_id, coalesce(n, 0) AS n_links, m AS component_id, v = m AS kept FROM c LEFT JOIN k ON a = v""",
+    "op6_chat_formatting": """WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+c AS (SELECT conv_id, count(*) AS n_turns, string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS rendered FROM t GROUP BY 1),
+k AS (SELECT *, min(conv_id) OVER (PARTITION BY rendered) AS least, count(*) OVER (PARTITION BY rendered) - 1 AS n_collapsed FROM c)
+SELECT conv_id, n_turns, rendered, n_collapsed FROM k WHERE conv_id = least AND NOT EXISTS (SELECT 1 FROM c o WHERE o.n_turns > k.n_turns AND starts_with(o.rendered, k.rendered))""",
+}
