@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaverlake.llm.common import cut
+from quaverlake.llm.common import cut, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -111,20 +111,21 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     passes = plan.sources.join(totals.select("source", "rows"), "source").select(
         F.col("source").alias("__source"), "weight", F.floor(F.col("quota") / F.col("tokens")).cast("int").alias("whole"), F.expr("quota - floor(quota / tokens) * tokens").alias("rest"), F.ceil(F.col("rows") / bucket_rows).cast("long").alias("buckets")
     )
-    keyed = counted.join(passes, "__source", "left")
+    passes = stored(passes)
     last = F.xxhash64(F.lit(seed), F.col("whole"), F.col(f"`{id_col}`"), text_col)
-    bucket = F.floor((last / F.lit(2.0**64) + 0.5) * F.col("buckets")).cast("long")
-    keyed = keyed.withColumns({"__last": last, "__bucket": F.least(bucket, F.col("buckets") - 1)})
-    sums = keyed.where("tokens > 0").groupBy("__source", "__bucket").agg(F.sum("tokens").alias("n"))
+    bucket = F.least(F.floor((last / F.lit(2.0**64) + 0.5) * F.col("buckets")).cast("long"), F.col("buckets") - 1)
+    sums = counted.where("tokens > 0").join(passes, "__source").groupBy("__source", bucket.alias("__bucket")).agg(F.sum("tokens").alias("n"))
     order = Window.partitionBy("__source").orderBy("__bucket")
-    ahead = sums.select("__source", "__bucket", (F.sum("n").over(order) - F.col("n")).alias("__ahead"), F.col("n").alias("__n"))
-    # only the bucket that the cut falls into needs an order of its rows
-    edge = ahead.join(passes, "__source").where("__ahead < rest").select("__source", "__bucket", (F.col("__ahead") + F.col("__n") <= F.col("rest")).alias("__inside"), (F.col("rest") - F.col("__ahead")).alias("__left"))
-    marked = keyed.join(edge, ["__source", "__bucket"], "left")
-    cutting = marked.where("tokens > 0 and not __inside")
-    within = Window.partitionBy("__source", "__bucket").orderBy("__last", F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).rowsBetween(Window.unboundedPreceding, -1)
-    cutting = cutting.withColumn("__part", F.coalesce(F.sum("tokens").over(within), F.lit(0)) < F.col("__left"))
-    sure = marked.where("tokens = 0 or __inside is null or __inside").withColumn("__part", F.coalesce(F.col("__inside"), F.lit(False)))
+    ahead = sums.withColumn("__ahead", F.sum("n").over(order) - F.col("n")).join(passes, "__source")
+    # the bucket that the cut falls into; only its rows need an order among themselves
+    cutoff = ahead.where("__ahead + n > rest").groupBy("__source").agg(F.min("__bucket").alias("__cut"), F.min_by(F.col("rest") - F.col("__ahead"), "__bucket").alias("__left"))
+    # stored, so that Spark knows its size: a small table of sources is sent to the documents, a large one shuffled
+    plan_rows = stored(passes.join(cutoff, "__source", "left"))
+    marked = counted.join(plan_rows, "__source", "left").withColumns({"__last": last, "__bucket": bucket})
+    at_cut = F.coalesce((F.col("tokens") > 0) & (F.col("__bucket") == F.col("__cut")), F.lit(False))
+    within = Window.partitionBy("__source").orderBy("__last", F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).rowsBetween(Window.unboundedPreceding, -1)
+    cutting = marked.where(at_cut).withColumn("__part", F.coalesce(F.sum("tokens").over(within), F.lit(0)) < F.col("__left"))
+    sure = marked.where(~at_cut).withColumn("__part", F.coalesce(F.col("__bucket") < F.col("__cut"), F.lit(False)))
     drawn = sure.unionByName(cutting)
     n_blocks = F.when(F.col("tokens") == 0, 1).otherwise(F.col("whole") + F.col("__part").cast("int"))
     drawn = drawn.where(n_blocks > 0).withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
