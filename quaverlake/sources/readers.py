@@ -53,7 +53,7 @@ def inventory(media: DataFrame, probe: Callable[[str], float | None] | None = No
                     errors.append(str(e)[:500])
             yield batch.assign(duration=pd.Series(seconds, dtype=float, index=batch.index), decode_status=["ok" if e is None else "failed" for e in errors], error=errors)
 
-    schema = StructType(rows.schema.fields).add("duration", "double").add("decode_status", "string").add("error", "string")
+    schema = StructType(list(rows.schema.fields)).add("duration", "double").add("decode_status", "string").add("error", "string")
     return rows.mapInPandas(run, schema)
 
 
@@ -65,8 +65,9 @@ def read_jsonl(spark: SparkSession, paths: str | list[str], schema: StructType |
 def read_jsonl_lenient(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
     """JSON lines without the corrupt ones."""
     full = StructType(list(schema.fields)).add("_corrupt_record", "string")
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(paths)
-    return rows.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    lines = spark.read.option("recursiveFileLookup", True).text(paths).where(F.trim("value") != "")
+    rows = lines.select(F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
+    return rows.where(F.col("r").isNotNull() & F.col("r._corrupt_record").isNull()).select("r.*").drop("_corrupt_record")
 
 
 def read_hash_cache(spark: SparkSession, paths: str | list[str], tag: str) -> DataFrame:

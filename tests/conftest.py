@@ -14,7 +14,7 @@ DATA = "/root/testdata/sf0.001"
 def spark():
     from quaverlake.session import build
 
-    session = build("local[4]", 4, **{"spark.driver.memory": "3g", "spark.sql.adaptive.coalescePartitions.enabled": "true"})
+    session = build("local[2]", 4, **{"spark.driver.memory": "3g", "spark.sql.adaptive.coalescePartitions.enabled": "true"})
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -14,7 +14,7 @@ from quaverlake.sources import readers, sinks
 from quaverlake.streaming import streams
 from quaverlake.streaming.machine import Item, request_id
 
-SCHEMA = StructType.fromDDL("audio_id string, v int")
+SCHEMA = StructType().add("audio_id", "string").add("v", "integer")
 
 
 def test_truncated_tail(spark, tmp_path):
