@@ -221,7 +221,7 @@ def near_links(docs: DataFrame, text_col: str, k: int = 5, similarity: float = 0
         rows = stored(open_rows.join(still, ["band", "sketch"]))
         if rows.isEmpty():
             return links
-        spread = 8
+        spread = 32
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, bands: int = 12, per_sketch: int = 3) -> DataFrame:
