@@ -10,6 +10,7 @@ its own, and a last pass cut at the budget. DataFrame and SQL functions only.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,26 +32,33 @@ class Mixture:
     sources: DataFrame  # source, tokens, weight, quota
 
 
-def _bisect(shares: DataFrame, target: float, budget_ratio: float, repetition: float, points: int = 16, rounds: int = 8) -> tuple[float, float]:
-    """(largest exponent with the target entropy, smallest within the repetition limit), both in [0, 1]."""
+def _at(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float, float]]:
+    """(sum of p^t, sum of p^t log p, largest p^(t-1)) for each t, in one aggregation."""
+    grid = shares.select("p", F.explode(F.lit(exponents)).alias("t"))
+    power = F.pow("p", F.col("t"))
+    rows = grid.groupBy("t").agg(F.sum(power).alias("z"), F.sum(power * F.log("p")).alias("l"), F.max(F.pow("p", F.col("t") - 1)).alias("r")).collect()
+    found = {r["t"]: (r["z"], r["l"], r["r"]) for r in rows}
+    return [found[t] for t in exponents]
+
+
+def _bisect(shares: DataFrame, target: float, budget_ratio: float, repetition: float, points: int = 32, rounds: int = 5) -> tuple[float, float]:
+    """(largest exponent with the target entropy, smallest within the repetition limit), both in [0, 1].
+
+    Every round cuts the interval into ``points`` parts.
+    """
 
     def narrow(kind: str) -> float:
         low, high = 0.0, 1.0
         for _ in range(rounds):
-            at = [low + (high - low) * i / points for i in range(points + 1)]
-            row = shares.agg(
-                *(F.sum(F.pow("p", F.lit(t))).alias(f"z{i}") for i, t in enumerate(at)),
-                *(F.sum(F.pow("p", F.lit(t)) * F.log("p")).alias(f"l{i}") for i, t in enumerate(at)),
-                *(F.max(F.pow("p", F.lit(t - 1))).alias(f"r{i}") for i, t in enumerate(at)),
-            ).first()
-            z = [row[f"z{i}"] for i in range(points + 1)]
+            at = sorted({low + (high - low) * i / points for i in range(points + 1)})
+            values = _at(shares, at)
             if kind == "entropy":  # falls as the exponent rises
-                fits = [_log(z[i]) - at[i] * row[f"l{i}"] / z[i] >= target for i in range(points + 1)]
+                fits = [_log(z) - t * w / z >= target for t, (z, w, _) in zip(at, values, strict=True)]
                 last = max((i for i, f in enumerate(fits) if f), default=0)
-                low, high = at[last], at[min(last + 1, points)]
+                low, high = at[last], at[min(last + 1, len(at) - 1)]
             else:  # the most repeated source's passes fall as the exponent rises
-                fits = [row[f"r{i}"] / z[i] * budget_ratio <= repetition for i in range(points + 1)]
-                first = min((i for i, f in enumerate(fits) if f), default=points)
+                fits = [r / z * budget_ratio <= repetition for z, _, r in values]
+                first = min((i for i, f in enumerate(fits) if f), default=len(at) - 1)
                 low, high = at[max(first - 1, 0)], at[first]
             if low == high:
                 break
@@ -60,8 +68,6 @@ def _bisect(shares: DataFrame, target: float, budget_ratio: float, repetition: f
 
 
 def _log(x: float) -> float:
-    import math
-
     return math.log(x)
 
 
