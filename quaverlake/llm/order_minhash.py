@@ -4,10 +4,11 @@ A text's k-mers are runs of ``k`` words, labelled by how often they occurred bef
 in the text. Their hashes are dealt to ``bands`` bands; each keeps the ``per_sketch``
 smallest in text order, so a sketch is sensitive to order as edit distance is.
 Texts that share a sketch are candidates: each is aligned, word by word and within
-the band its length allows, with its bucket's leader. Those unlike it (a passage that
-many texts share brings such buckets about) are dealt anew by a second sketch they
-have in common, and led in rounds until every member is linked or has led. Classes
-are the connected components of the links.
+the band its length allows, with its bucket's leader. In buckets that this leaves in
+several components (a passage that many texts share, versions that drift away from the
+leader) every pair not yet connected is judged, block of members against block: lengths
+and counts of shared words and word pairs rule most pairs out for certain, the others
+are aligned. Classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -191,37 +192,132 @@ def _verify(similarity: float):
     return run
 
 
-def near_links(docs: DataFrame, text_col: str, k: int = 5, similarity: float = 0.8, bands: int = 12, per_sketch: int = 3) -> DataFrame:
-    """Verified links (a, b) between keys of different texts."""
+def _features(tokens: list[np.ndarray], run: int, size: int) -> np.ndarray:
+    """How often each text's runs of ``run`` words, told apart by occurrence, fall to each of ``size`` slots.
+
+    The product of two rows is never less than the number of runs that both texts hold.
+    """
+    counts = np.array([max(0, len(t) - run + 1) for t in tokens])
+    owner = np.repeat(np.arange(len(tokens)), counts)
+    grams = np.concatenate([t[: n] for t, n in zip(tokens, counts, strict=True)]).astype(np.uint64)
+    for j in range(1, run):
+        grams = mix(grams) + np.concatenate([t[j : j + n] for t, n in zip(tokens, counts, strict=True)])
+    salt = mix(owner.astype(np.uint64) + np.uint64(1))
+    slot = mix(mix(grams) + _ranks(grams ^ salt) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(size - 1)
+    return np.bincount(owner * size + slot.astype(np.int64), minlength=len(tokens) * size).reshape(len(tokens), size).astype(np.float32)
+
+
+def hopeful(left: list[np.ndarray], right: list[np.ndarray] | None, similarity: float, chunk: int = 128) -> Iterator[tuple[int, int]]:
+    """Index pairs of ``left`` with ``right`` (within ``left``, if None) less those that cannot be near.
+
+    An edit destroys one word and two word pairs of the longer text at most, so texts
+    with fewer in common, or lengths too far apart, are never within the limit.
+    """
+    inside = right is None
+    sides = [left, left if inside else right]
+    order = [np.argsort([len(t) for t in side], kind="stable") for side in sides]
+    length = [np.array([len(side[i]) for i in o], dtype=np.int64) for side, o in zip(sides, order, strict=True)]
+    made: dict = {}
+
+    def rows(side: int, at: int, run: int, size: int) -> np.ndarray:
+        key = (0 if inside else side, at, run, size)
+        if key not in made:
+            if len(made) >= 32:
+                made.pop(next(iter(made)))
+            made[key] = _features([sides[side][i] for i in order[side][at : at + chunk]], run, size)
+        return made[key]
+
+    for x in range(0, len(left), chunk):
+        for y in range(x if inside else 0, len(sides[1]), chunk):
+            n, m = length[0][x : x + chunk], length[1][y : y + chunk]
+            longest = np.maximum(n[:, None], m[None, :])
+            limit = (longest * (1 - similarity) + 1e-9).astype(np.int64)
+            open_ = np.abs(n[:, None] - m[None, :]) <= limit
+            if inside and x == y:
+                open_ = np.triu(open_, 1)
+            for run, lost in ((2, 2), (1, 1)):
+                if open_.sum() > 8:
+                    size = 1 << min(14, max(8, (8 * int(max(n[-1], m[-1]))).bit_length()))
+                    open_ &= rows(0, x, run, size) @ rows(1, y, run, size).T >= longest - run + 1 - lost * limit
+            for i, j in np.argwhere(open_):
+                yield int(order[0][x + i]), int(order[1][y + j])
+
+
+def _judge(similarity: float):
+    """Links between unconnected members of the two blocks (or within the one) of each group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows = None, []
+
+        def flush() -> pa.RecordBatch | None:
+            bucket, i, j = group
+            left = [r for r in rows if r[0] == i]
+            right = left if i == j else [r for r in rows if r[0] == j]
+            above: dict[bytes, bytes] = {}
+
+            def top(root: bytes) -> bytes:
+                while root in above:
+                    root = above[root]
+                return root
+
+            shared = [[set(r[3]) for r in side] for side in (left, right)]
+            tokens = [[np.frombuffer(r[4], np.uint32) for r in side] for side in (left, right)]
+            found = []
+            for x, y in hopeful(tokens[0], None if i == j else tokens[1], similarity):
+                a, b = top(left[x][2]), top(right[y][2])
+                # pairs that meet in several buckets are judged in the first
+                if a == b or min(shared[0][x] & shared[1][y]) != bucket:
+                    continue
+                limit = int(max(len(tokens[0][x]), len(tokens[1][y])) * (1 - similarity) + 1e-9)
+                if edits_within(tokens[0][x], tokens[1][y], limit) <= limit:
+                    above[a] = b
+                    found.append((left[x][1], right[y][1]))
+            if not found:
+                return None
+            return pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*found, strict=True)], names=["a", "b"])
+
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("bucket", "i", "j", "block", "tk", "root", "buckets", "tokens"))
+            for bucket, i, j, *row in zip(*columns, strict=True):
+                if group != (bucket, i, j):
+                    if rows and (out := flush()) is not None:
+                        yield out
+                    group, rows = (bucket, i, j), []
+                rows.append(row)
+        if rows and (out := flush()) is not None:
+            yield out
+
+    return run
+
+
+def near_links(docs: DataFrame, text_col: str, k: int = 5, similarity: float = 0.8, bands: int = 12, per_sketch: int = 3, block: int = 1024) -> DataFrame:
+    """Verified links (a, b) between keys of different texts, enough to connect whatever all candidate links connect."""
     texts = docs.select(text_key(f"`{text_col}`").alias("tk"), F.col(f"`{text_col}`").alias("text"))
     drawn = stored(texts.mapInArrow(_sketch(text_col, k, bands, per_sketch), "tk binary, band int, sketch long")).distinct()
-    shared = drawn.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "sketch")
-    rows = stored(drawn.join(shared, ["band", "sketch"]))
+    shared = drawn.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("n"), F.min("tk").alias("lead")).where("n > 1").select("band", "sketch", "lead")
+    rows = stored(drawn.join(shared, ["band", "sketch"]).select("tk", "lead", F.xxhash64("band", "sketch").alias("bucket")))
     needed = rows.select("tk").distinct()
     tokens = texts.join(needed, "tk").select("tk", "text").mapInArrow(_tokens, "tk binary, tokens binary")
     tokens = stored(tokens.groupBy("tk").agg(F.first("tokens").alias("tokens")))
-    links, spread = None, 1
-    while True:
-        slot = F.pmod(F.xxhash64("tk"), F.lit(spread))
-        leads = rows.groupBy("band", "sketch", slot.alias("slot")).agg(F.min("tk").alias("lead")).drop("slot")
-        pairs = rows.join(leads, ["band", "sketch"]).where("tk > lead").select("tk", "lead").distinct()
-        with_a = pairs.join(tokens.withColumnRenamed("tokens", "a"), "tk")
-        with_b = with_a.join(tokens.select(F.col("tk").alias("lead"), F.col("tokens").alias("b")), "lead")
-        judged = stored(with_b.select("tk", "lead", "a", "b").mapInArrow(_verify(similarity), "tk binary, lead binary, alike boolean"))
-        good = judged.where("alike").select(F.col("tk").alias("a"), F.col("lead").alias("b"))
-        links = good if links is None else links.unionByName(good)
-        # who led, or was linked in this bucket, is done there; the others go on by themselves
-        done = rows.join(leads, ["band", "sketch"]).join(judged, ["tk", "lead"], "left").groupBy("band", "sketch", "tk").agg(F.max(F.expr("tk = lead or coalesce(alike, false)")).alias("done"))
-        open_rows = done.where("not done").select("tk", "band", "sketch")
-        if spread == 1:
-            other = drawn.select("tk", F.col("band").alias("band2"), F.col("sketch").alias("sketch2"))
-            open_rows = open_rows.join(other, "tk").where("band <> band2")
-            open_rows = stored(open_rows.select("tk", (F.col("band") * bands + F.col("band2")).alias("band"), F.xxhash64("sketch", "sketch2").alias("sketch")))
-        still = open_rows.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "sketch")
-        rows = stored(open_rows.join(still, ["band", "sketch"]))
-        if rows.isEmpty():
-            return links
-        spread = 32
+    pairs = rows.where("tk > lead").select("tk", "lead").distinct()
+    with_a = pairs.join(tokens.withColumnRenamed("tokens", "a"), "tk")
+    with_b = with_a.join(tokens.select(F.col("tk").alias("lead"), F.col("tokens").alias("b")), "lead")
+    judged = with_b.select("tk", "lead", "a", "b").mapInArrow(_verify(similarity), "tk binary, lead binary, alike boolean")
+    led = stored(judged.where("alike").select(F.col("tk").alias("a"), F.col("lead").alias("b")))
+    # buckets still in several components: the largest one's members and the others in blocks of their own
+    roots = connected_components(led)
+    rooted = stored(rows.join(roots.withColumnRenamed("node", "tk"), "tk", "left").select("bucket", "tk", F.coalesce("root", "tk").alias("root")))
+    parts = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"))
+    parts = parts.where("n > most.n").select("bucket", F.col("most.root").alias("largest"), F.ceil(F.col("most.n") / block).cast("int").alias("n_in"), F.ceil((F.col("n") - F.col("most.n")) / block).cast("int").alias("n_out"))
+    inside, salt = F.col("root") == F.col("largest"), F.xxhash64("tk")
+    member = F.when(inside, F.pmod(salt, F.col("n_in"))).otherwise(F.col("n_in") + F.pmod(salt, F.col("n_out"))).cast("int")
+    met = stored(rooted.join(parts, "bucket").select("bucket", "tk", "root", member.alias("block"), F.when(inside, F.col("n_in")).otherwise(0).alias("low"), (F.col("n_in") + F.col("n_out") - 1).alias("high")))
+    facts = stored(met.groupBy("tk").agg(F.collect_list("bucket").alias("buckets")).join(tokens, "tk"))
+    dealt = met.select("bucket", "tk", "root", "block", F.explode(F.sequence("low", "high")).alias("other"))
+    dealt = dealt.join(facts, "tk").select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "tk", "root", "buckets", "tokens")
+    width = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    crossed = dealt.repartition(width, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_judge(similarity), "a binary, b binary")
+    return led.unionByName(stored(crossed.distinct()))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, bands: int = 12, per_sketch: int = 3) -> DataFrame:

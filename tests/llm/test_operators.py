@@ -287,6 +287,57 @@ def test_near_duplicates(spark):
     assert sorted((r["doc_id"] is None, r["doc_id"]) for r in order_minhash.keep_one(twice).collect()) == [(False, 0), (True, None)]
 
 
+def classes(spark, texts, **more):
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(docs(spark, texts), **more).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def brute_classes(texts, k=5, bands=12, per_sketch=3):
+    """Every pair that shares a sketch, judged one by one."""
+    words = [[w.lower() for w in t.split()] for t in texts]
+    text, band, sketch = order_minhash.sketches(pa.array(texts), k, bands, per_sketch)
+    drawn: dict = {}
+    for at in zip(text.tolist(), band.tolist(), sketch.tolist(), strict=True):
+        drawn.setdefault(at[0], set()).add(at[1:])
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            longest = max(len(words[i]), len(words[j]))
+            if label[i] != label[j] and drawn[i] & drawn[j] and brute_edits(words[i], words[j]) <= int(longest * 0.2 + 1e-9):
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    return label
+
+
+def test_drifting_versions_stay_one_class(spark):
+    rng, texts = np.random.default_rng(9), []
+    for family in range(300):
+        words = [f"f{family}x{i}" for i in range(266)]
+        texts += [" ".join(words[:n]) for n in (200, 231, 266)]
+    for n in (9, 30):
+        words = [f"g{n}x{i}" for i in range(2000)]
+        texts += [" ".join(words[: int(60 * 1.09**i)]) for i in range(n)]
+    texts = [texts[i] for i in rng.permutation(len(texts))]
+    assert classes(spark, texts) == brute_classes(texts)
+
+
+def test_hopeful_keeps_every_near_pair():
+    rng = np.random.default_rng(3)
+    made = [rng.integers(0, 25, n).astype(np.uint32) for n in (0, 1, 2, 12, 40, 90)]
+    for a in list(made):
+        for _ in range(12):
+            b = a.copy()
+            for _ in range(rng.integers(0, 1 + len(a) // 3)):
+                at = rng.integers(0, len(b) + 1)
+                b = np.concatenate([b[:at], rng.integers(0, 25, rng.integers(0, 2)).astype(np.uint32), b[at + rng.integers(0, 2) :]])
+            made.append(b.astype(np.uint32))
+    near = lambda a, b: brute_edits(a.tolist(), b.tolist()) <= int(max(len(a), len(b)) * 0.2 + 1e-9)
+    for chunk in (4, 128):
+        kept = {(min(p), max(p)) for p in order_minhash.hopeful(made, None, 0.8, chunk)}
+        assert kept >= {(i, j) for j in range(len(made)) for i in range(j) if near(made[i], made[j])}
+        across = set(order_minhash.hopeful(made[:30], made[30:], 0.8, chunk))
+        assert across >= {(i, j - 30) for i in range(30) for j in range(30, len(made)) if near(made[i], made[j])}
+
+
 # -- packing
 
 
