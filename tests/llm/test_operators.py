@@ -320,6 +320,16 @@ def test_drifting_versions_stay_one_class(spark):
     assert classes(spark, texts) == brute_classes(texts)
 
 
+def test_one_shared_sketch_makes_a_candidate(spark):
+    rng, passage, texts = np.random.default_rng(4), " ".join(f"p{i}" for i in range(60)), []
+    for pair in range(40):
+        own = [f"o{pair}x{i}" for i in range(60)]
+        other = [f"e{pair}x{i}" if i % 5 == 2 else w for i, w in enumerate(own)]
+        texts += [f"{passage} {' '.join(own)}", f"{passage} {' '.join(other)}"]
+    texts = [texts[i] for i in rng.permutation(len(texts))]
+    assert classes(spark, texts) == brute_classes(texts)
+
+
 def test_hopeful_keeps_every_near_pair():
     rng = np.random.default_rng(3)
     made = [rng.integers(0, 25, n).astype(np.uint32) for n in (0, 1, 2, 12, 40, 90)]
