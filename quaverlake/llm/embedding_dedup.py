@@ -1,14 +1,11 @@
-"""Embedding near-dedup by sorted projection passes.
-
-Every pass hashes each vector by the signs of random projections, concatenated, and
-sorts by that key; each block of ``window`` neighbours in the order is compared with
-itself and the block before it, in double precision, and vectors that verified pairs
-connect are united across passes. Equal vectors are one row from the start.
-
-A bounded window cannot count the links inside a dense group, so a second step does
-it exactly: the members of each component, in blocks of ``block`` rows, are compared
-block by block, and only counts leave a task. Its work grows with the square of a
-component's different vectors, which an exact count of their links needs.
+"""Embedding near-dedup by exact comparison of blocks.
+
+The different vectors of each length are dealt by hash to blocks of ``block`` rows, and
+every block is compared with itself and every other: in single precision first, and
+again in double where its error could matter. Only counts of links and the edges that
+connect what a task saw leave it. Nothing is left to chance, whatever the vectors; the
+work grows with the square of the number of different vectors. Equal vectors are one row
+from the start.
 """
 
 from __future__ import annotations
@@ -41,79 +38,32 @@ def _unit(raw: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _project(passes: int, bits: int, seed: int):
-    planes: dict[int, np.ndarray] = {}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = (1 << np.arange(bits - 1, -1, -1)).astype(np.int64)
-        for batch in batches:
-            raw = batch.column(1).to_pylist()
-            sizes = np.array([len(r) // 8 for r in raw])
-            for dim in np.unique(sizes):
-                own = np.flatnonzero(sizes == dim)
-                if dim not in planes:
-                    planes[dim] = np.random.Generator(np.random.PCG64([seed, int(dim)])).standard_normal((int(dim), passes * bits))
-                signs = (_unit([raw[i] for i in own]) @ planes[dim] > 0).reshape(len(own), passes, bits)
-                key = (signs * weights).sum(axis=2)
-                take = pa.array(np.repeat(own, passes))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.tile(np.arange(passes, dtype=np.int32), len(own))), pa.array(np.full(len(own) * passes, dim, np.int32)), pa.array(key.ravel()), batch.column(0).take(take), batch.column(1).take(take)], names=["pass", "dim", "key", "tk", "vector"]
-                )
-
-    return run
-
-
-def _united(adjacent: np.ndarray) -> np.ndarray:
-    """Smallest reachable index of each row of a symmetric boolean matrix."""
-    n = len(adjacent)
-    label = np.arange(n)
-    busy = np.flatnonzero(adjacent.sum(axis=1) > 1)
-    part = adjacent[np.ix_(busy, busy)]
-    while len(busy):
-        low = np.where(part, label[busy][None, :], n).min(axis=1)
-        low = np.minimum(low, label[low])
-        if (low == label[busy]).all():
-            break
-        label[busy] = low
-    return label
+def _near(x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
+    """Which rows of x and y link; rows that single precision cannot tell are compared in double."""
+    margin = (x.shape[1] + 8) * 2.0**-23
+    product = x.astype(np.float32) @ y.astype(np.float32).T
+    near = product >= cosine
+    unsure = np.flatnonzero((np.abs(product - np.float32(cosine)) <= margin).any(axis=1))
+    if len(unsure):
+        near[unsure] = x[unsure] @ y.T >= cosine
+    return near
 
 
-def _neighbours(window: int, cosine: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, keys, raw, before = None, [], [], None
-
-        def flush():
-            nonlocal before
-            x = _unit(raw)
-            fresh = len(x)
-            names = list(keys)
-            if before is not None:
-                x, names = np.concatenate([before[0], x]), before[1] + names
-            label = _united(x @ x.T >= cosine)
-            before = (x[-fresh:], names[-fresh:])
-            linked = np.flatnonzero(label != np.arange(len(label)))
-            keys.clear(), raw.clear()
-            if len(linked):
-                return pa.RecordBatch.from_arrays([pa.array([names[i] for i in linked], pa.binary()), pa.array([names[i] for i in label[linked]], pa.binary())], names=["a", "b"])
-            return None
-
-        for batch in batches:
-            for number, dim, key, vector in zip(*(batch.column(c).to_pylist() for c in ("pass", "dim", "tk", "vector")), strict=True):
-                if group != (number, dim) or len(keys) == window:
-                    if keys and (out := flush()) is not None:
-                        yield out
-                    if group != (number, dim):
-                        group, before = (number, dim), None
-                keys.append(key)
-                raw.append(vector)
-        if keys and (out := flush()) is not None:
-            yield out
-
-    return run
+def _joined(n: int, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Smallest index that each of n rows reaches by links given as (rows, columns, matrix)."""
+    label = np.arange(n, dtype=np.int32)
+    while True:
+        before = label.copy()
+        for rows, columns, near in parts:
+            label[rows] = np.minimum(label[rows], np.where(near, label[columns][None, :], n).min(axis=1))
+            label[columns] = np.minimum(label[columns], np.where(near, label[rows][:, None], n).min(axis=0))
+        label = label[label]
+        if (label == before).all():
+            return label
 
 
-def _count(cosine: float):
-    """Links of each member with the other block of its pair, by copies."""
+def _compare(cosine: float, window: int):
+    """Links of each member with the other block of its pair, by copies, and a member it connects to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, rows = None, []
@@ -124,20 +74,34 @@ def _count(cosine: float):
             copies = np.array([r[2] for r in rows], dtype=np.int64)
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
             x = _unit([r[3] for r in rows])
-            near = x[left] @ x[right].T >= cosine
             n = np.zeros(len(rows), dtype=np.int64)
-            n[left] += near @ copies[right]
-            if i != j:
-                n[right] += near.T @ copies[left]
-            return pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows], pa.binary()), pa.array(n)], names=["tk", "n"])
+            parts = []
+            for low in range(0, len(left), window):
+                some = left[low : low + window]
+                near = _near(x[some], x[right], cosine)
+                if i == j:
+                    near[np.arange(len(some)), np.arange(low, low + len(some))] = True
+                n[some] += near @ copies[right]
+                if i != j:
+                    n[right] += near.T @ copies[some]
+                else:
+                    near[np.arange(len(some)), np.arange(low, low + len(some))] = False
+                a, b = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+                if len(a):
+                    parts.append((some[a], right[b], near[np.ix_(a, b)]))
+            label = _joined(len(rows), parts)
+            names = [r[1] for r in rows]
+            out = np.flatnonzero(n)
+            to = [names[label[k]] if label[k] != k else None for k in out]
+            return pa.RecordBatch.from_arrays([pa.array([names[k] for k in out], pa.binary()), pa.array(n[out]), pa.array(to, pa.binary())], names=["tk", "n", "other"])
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("root", "i", "j", "block", "tk", "copies", "vector"))
-            for root, i, j, *row in zip(*columns, strict=True):
-                if group != (root, i, j):
+            columns = (batch.column(c).to_pylist() for c in ("dim", "i", "j", "block", "tk", "copies", "vector"))
+            for dim, i, j, *row in zip(*columns, strict=True):
+                if group != (dim, i, j):
                     if rows:
                         yield flush()
-                    group, rows = (root, i, j), []
+                    group, rows = (dim, i, j), []
                 rows.append(row)
         if rows:
             yield flush()
@@ -145,15 +109,16 @@ def _count(cosine: float):
     return run
 
 
-def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, passes: int = 16, window: int = 512, bits: int = 48, block: int = 1024, seed: int = 11) -> DataFrame:
+def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, window: int = 512, block: int = 4096) -> DataFrame:
     """(id, n_links, component_id, kept), one row per row of ``vectors``.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with
     nothing, as do vectors of different lengths; such rows are components of their
     own. Rows that repeat are vectors of their own and link with each other; null ids
     stay null and are never the smallest unless alone. Other columns are ignored; no
-    rows give no rows. Links below ``cosine`` are never reported; those above are
-    found with a probability that ``passes`` and ``window`` set (see the README).
+    rows give no rows. All links are found and none below ``cosine`` is reported.
+    ``block`` rows are dealt together, ``window`` of them compared at once; neither
+    changes the result.
     """
     if not 0 < cosine <= 1:
         raise ValueError("cosine must lie in (0, 1]")
@@ -166,17 +131,17 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     usable = keyed.where("vector is not null")
     different = stored(usable.groupBy("tk").agg(F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"), F.min("id").alias("least")))
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    projected = different.select("tk", "vector").mapInArrow(_project(passes, bits, seed), "pass int, dim int, key long, tk binary, vector binary")
-    ordered = projected.repartitionByRange(parts, "pass", "dim", "key").sortWithinPartitions("pass", "dim", "key", "tk")
-    edges = ordered.mapInArrow(_neighbours(window, cosine), "a binary, b binary").distinct()
-    roots = connected_components(edges)
+    members = different.withColumn("dim", F.length("vector"))
+    sizes = members.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    blocked = members.join(sizes, "dim").withColumn("block", F.pmod(F.xxhash64("tk"), F.col("blocks")).cast("int"))
+    dealt = blocked.select("dim", "tk", "vector", "copies", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("dim", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "tk", "copies", "vector")
+    compared = dealt.repartition(parts, "dim", "i", "j").sortWithinPartitions("dim", "i", "j").mapInArrow(_compare(cosine, window), "tk binary, n long, other binary")
+    compared = stored(compared)
+    linked = compared.groupBy("tk").agg(F.sum("n").alias("n"))
+    roots = connected_components(compared.where("other is not null").select(F.col("tk").alias("a"), F.col("other").alias("b")))
     members = stored(different.join(roots.select(F.col("node").alias("tk"), "root"), "tk"))
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("component_id"))
-    blocked = members.join(sizes, "root").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("block", F.pmod(F.xxhash64("tk"), F.col("blocks")).cast("int"))
-    dealt = blocked.select("root", "tk", "vector", "copies", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "tk", "copies", "vector")
-    counted = dealt.repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(_count(cosine), "tk binary, n long")
-    linked = counted.groupBy("tk").agg(F.sum("n").alias("n"))
-    near = members.select("tk", "root").join(linked, "tk").join(sizes.select("root", "component_id"), "root").select("tk", "n", "component_id")
-    facts = stored(different.select("tk", "copies", "least").join(near, "tk", "left").select("tk", (F.coalesce("n", "copies") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id")))
+    least = members.groupBy("root").agg(F.min("least").alias("component_id"))
+    near = members.join(least, "root").select("tk", "component_id")
+    facts = stored(different.select("tk", "copies", "least").join(linked, "tk").join(near, "tk", "left").select("tk", (F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id")))
     return keyed.select("id", "tk").join(facts, "tk", "left").select("id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "id").alias("component_id")).withColumn("kept", F.expr("id <=> component_id"))

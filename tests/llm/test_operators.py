@@ -108,6 +108,19 @@ def test_embedding_links(spark):
     assert embedding_dedup.embedding_links(df.limit(0)).count() == 0
 
 
+def test_embedding_links_in_a_crowd(spark):
+    """Lone pairs among vectors that all lie close to one centre, against brute force."""
+    rng = np.random.default_rng(8)
+    rest = rng.standard_normal((17_000, 63))
+    rest[16_500:] = rest[:500] * 0.6 / np.linalg.norm(rest[:500], axis=1, keepdims=True) + 0.8 * rest[16_500:] / np.linalg.norm(rest[16_500:], axis=1, keepdims=True)
+    x = np.concatenate([np.full((len(rest), 1), 0.9**0.5), 0.1**0.5 * rest / np.linalg.norm(rest, axis=1, keepdims=True)], axis=1)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.concatenate([(x[at : at + 1000] @ x.T >= 0.95).sum(axis=1) - 1 for at in range(0, len(x), 1000)])
+    table = pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x))})
+    got = embedding_dedup.embedding_links(spark.createDataFrame(table)).select("id", "n_links").toArrow().sort_by("id")
+    assert want.sum() > 500 and (got["n_links"].to_numpy() == want).all()
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (102, 102), (100, 105)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
