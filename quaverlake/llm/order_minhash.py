@@ -341,6 +341,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return keyed.join(facts, "__tk").withColumn("kept", F.col("leads") & F.expr(f"`{id_col}` <=> class_id")).drop("leads", "__tk")
 
 
-def keep_one(marked: DataFrame) -> DataFrame:
-    """The kept row of each class; of rows that repeat it, one."""
-    return marked.where("kept").dropDuplicates(["class_id"])
+def keep_one(marked: DataFrame, text_col: str = "text") -> DataFrame:
+    """The kept row of each class; of rows that repeat it, one.
+
+    Classes are told apart by their kept text, as ids may be null or repeat.
+    """
+    keyed = marked.where("kept").withColumn("__tk", text_key(f"`{text_col}`"))
+    return keyed.dropDuplicates(["__tk"]).drop("__tk")

@@ -300,6 +300,14 @@ def test_near_duplicates(spark):
     assert sorted((r["doc_id"] is None, r["doc_id"]) for r in order_minhash.keep_one(twice).collect()) == [(False, 0), (True, None)]
 
 
+def test_keep_one_keeps_unlike_texts_of_one_id(spark):
+    a, b, c, d = (prose(40) for _ in range(4))
+    rows = [(None, a), (None, b), (None, b), (3, c), (3, d), (3, d), (4, None), (4, ""), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = order_minhash.keep_one(order_minhash.near_duplicates(df)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == sorted([(0, a), (0, b), (3, c), (3, d), (4, "")])
+
+
 def classes(spark, texts, **more):
     got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(docs(spark, texts), **more).collect()}
     return [got[i] for i in range(len(texts))]
