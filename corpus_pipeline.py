@@ -62,7 +62,7 @@ STAGES = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: stages of trained models and sketches are beyond SQL; tests hold them against brute force
+#: stages of trained models and sketches are beyond SQL; tests hold the two dedup stages against brute force
 ORACLE_SQL = None
 
 

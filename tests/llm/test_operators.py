@@ -351,6 +351,34 @@ def test_one_shared_sketch_makes_a_candidate(spark):
     assert classes(spark, texts) == brute_classes(texts)
 
 
+def test_pipeline_dedup_stages_against_brute_force(spark, data):
+    """Exact, near and drifting copies, a shared passage and null ids through the two dedup stages."""
+    import corpus_pipeline as P
+
+    rng = np.random.default_rng(12)
+    make = lambda name, n: [f"{name}x{i}" for i in range(n)]
+    passage, texts = make("p", 45), []
+    for f in range(8):
+        own = make(f"d{f}", 160)
+        texts += [own[:n] for n in (120, 138, 160)]
+        near = make(f"n{f}", 90)
+        texts += [near, near, [*near[:40], "edit", *near[41:]]]
+        texts += [make(f"s{f}", 80) + passage + make(f"t{f}", 20)]
+    texts = [" ".join(t) for t in texts]
+    ids = [None if i % 5 == 0 else i for i in range(len(texts))]
+    order = rng.permutation(len(texts))
+    rows = [(ids[i], texts[i], "en", "web", len(texts[i])) for i in order]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    label = brute_classes(texts)
+    kept = [r["text"] for r in P.minhash_near_dedup(spark, df, data).collect()]
+    of = {t: label[texts.index(t)] for t in texts}
+    assert sorted(of[t] for t in kept) == sorted({of[t] for t in texts})
+    stage = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in enumerate(kept)], df.schema)
+    cut = {r["doc_id"]: r["text"] for r in P.substring_dedup_stage(spark, stage, data).collect()}
+    want = {i: t for i, t in enumerate(brute_removal(kept, 35)) if t}
+    assert cut == want and any(want[i] != kept[i] for i in want)
+
+
 def test_hopeful_keeps_every_near_pair():
     rng = np.random.default_rng(3)
     made = [rng.integers(0, 25, n).astype(np.uint32) for n in (0, 1, 2, 12, 40, 90)]
