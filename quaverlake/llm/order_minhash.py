@@ -75,7 +75,7 @@ def sketches(texts: pa.Array, k: int, bands: int, per_sketch: int) -> tuple[np.n
     return some[dealt[start] // bands], dealt[start] % bands, sketch.view(np.int64)
 
 
-def _sketch(text_col: str, k: int, bands: int, per_sketch: int):
+def _sketch(k: int, bands: int, per_sketch: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[bytes] = set()
         for batch in batches:
@@ -85,9 +85,9 @@ def _sketch(text_col: str, k: int, bands: int, per_sketch: int):
             keep = [i for i, key in enumerate(keys) if not (key in met or met.add(key))]
             batch = batch.take(pa.array(keep, pa.int64()))
             for low, high in blocks(batch.column(1)):
-                text, band, found = sketches(batch.column(1).slice(low, high - low), k, bands, per_sketch)
+                text, _, found = sketches(batch.column(1).slice(low, high - low), k, bands, per_sketch)
                 if len(text):
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(low + text)), pa.array(band.astype(np.int32)), pa.array(found)], names=["tk", "band", "sketch"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(low + text)), pa.array(found)], names=["tk", "sketch"])
 
     return run
 
@@ -290,16 +290,19 @@ def _judge(similarity: float):
     return run
 
 
-def near_links(docs: DataFrame, text_col: str, k: int = 5, similarity: float = 0.8, bands: int = 12, per_sketch: int = 3, block: int = 1024) -> DataFrame:
+def near_links(docs: DataFrame, text_col: str, k: int = 5, similarity: float = 0.8, bands: int = 64, per_sketch: int = 2, block: int = 1024) -> DataFrame:
     """Verified links (a, b) between keys of different texts, enough to connect whatever all candidate links connect."""
     texts = docs.select(text_key(f"`{text_col}`").alias("tk"), F.col(f"`{text_col}`").alias("text"))
-    drawn = stored(texts.mapInArrow(_sketch(text_col, k, bands, per_sketch), "tk binary, band int, sketch long")).distinct()
-    shared = drawn.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("n"), F.min("tk").alias("lead")).where("n > 1").select("band", "sketch", "lead")
-    rows = stored(drawn.join(shared, ["band", "sketch"]).select("tk", "lead", F.xxhash64("band", "sketch").alias("bucket")))
-    needed = rows.select("tk").distinct()
-    tokens = texts.join(needed, "tk").select("tk", "text").mapInArrow(_tokens, "tk binary, tokens binary")
+    # of most sketches no other text has any: numbers alone go through this part
+    drawn = stored(texts.mapInArrow(_sketch(k, bands, per_sketch), "tk binary, sketch long").select(F.xxhash64("tk").alias("h"), "sketch"))
+    shared = drawn.groupBy("sketch").agg(F.min("h").alias("lead"), F.max("h").alias("last")).where("lead < last").select("sketch", "lead")
+    met = stored(drawn.join(shared, "sketch").select("h", "lead", F.col("sketch").alias("bucket")).distinct())
+    needed = met.select("h").distinct()
+    tokens = texts.withColumn("h", F.xxhash64("tk")).join(needed, "h").select("tk", "text").mapInArrow(_tokens, "tk binary, tokens binary")
     tokens = stored(tokens.groupBy("tk").agg(F.first("tokens").alias("tokens")))
-    pairs = rows.where("tk > lead").select("tk", "lead").distinct()
+    named = tokens.select(F.xxhash64("tk").alias("h"), "tk")
+    rows = stored(met.join(named, "h").select("tk", "h", "lead", "bucket"))
+    pairs = rows.where("h <> lead").select("tk", "lead").distinct().withColumnRenamed("lead", "h").join(named.withColumnRenamed("tk", "lead"), "h").select("tk", "lead")
     with_a = pairs.join(tokens.withColumnRenamed("tokens", "a"), "tk")
     with_b = with_a.join(tokens.select(F.col("tk").alias("lead"), F.col("tokens").alias("b")), "lead")
     judged = with_b.select("tk", "lead", "a", "b").mapInArrow(_verify(similarity), "tk binary, lead binary, alike boolean")
@@ -311,40 +314,38 @@ def near_links(docs: DataFrame, text_col: str, k: int = 5, similarity: float = 0
     parts = parts.where("n > most.n").select("bucket", F.col("most.root").alias("largest"), F.ceil(F.col("most.n") / block).cast("int").alias("n_in"), F.ceil((F.col("n") - F.col("most.n")) / block).cast("int").alias("n_out"))
     inside, salt = F.col("root") == F.col("largest"), F.xxhash64("tk")
     member = F.when(inside, F.pmod(salt, F.col("n_in"))).otherwise(F.col("n_in") + F.pmod(salt, F.col("n_out"))).cast("int")
-    met = stored(rooted.join(parts, "bucket").select("bucket", "tk", "root", member.alias("block"), F.when(inside, F.col("n_in")).otherwise(0).alias("low"), (F.col("n_in") + F.col("n_out") - 1).alias("high")))
-    facts = stored(met.groupBy("tk").agg(F.collect_list("bucket").alias("buckets")).join(tokens, "tk"))
-    dealt = met.select("bucket", "tk", "root", "block", F.explode(F.sequence("low", "high")).alias("other"))
+    dealt = stored(rooted.join(parts, "bucket").select("bucket", "tk", "root", member.alias("block"), F.when(inside, F.col("n_in")).otherwise(0).alias("low"), (F.col("n_in") + F.col("n_out") - 1).alias("high")))
+    facts = stored(dealt.groupBy("tk").agg(F.collect_list("bucket").alias("buckets")).join(tokens, "tk"))
+    dealt = dealt.select("bucket", "tk", "root", "block", F.explode(F.sequence("low", "high")).alias("other"))
     dealt = dealt.join(facts, "tk").select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "tk", "root", "buckets", "tokens")
     width = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     crossed = dealt.repartition(width, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_judge(similarity), "a binary, b binary")
     return led.unionByName(stored(crossed.distinct()))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, bands: int = 12, per_sketch: int = 3) -> DataFrame:
-    """``docs`` with class_id (smallest id of the class), class_texts, class_rows and kept added.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, bands: int = 64, per_sketch: int = 2) -> DataFrame:
+    """``docs`` with class_id (smallest id of the class), class_key, class_texts, class_rows and kept added.
 
     Equal texts are one class whatever their length; different ones link when one
     is the other after edits of at most ``1 - similarity`` of the longer's words,
     ASCII case aside. Texts without a word (null and empty count as the same text)
     link with equal ones only. One row of each class is kept: the first by id, then
-    any of the rows that repeat it; a null id loses against any other. Columns of
-    added names are replaced; no rows give no rows.
+    any of the rows that repeat it; a null id loses against any other. As ids may
+    be null or repeat, classes are told apart by ``class_key``, the key of the kept
+    text. Texts may be of any length. Columns of added names are replaced; no rows
+    give no rows.
     """
-    docs = docs.drop("class_id", "class_texts", "class_rows", "kept")
+    docs = docs.drop("class_id", "class_key", "class_texts", "class_rows", "kept")
     keyed = docs.select("*", text_key(f"`{text_col}`").alias("__tk"))
     roots = connected_components(near_links(docs, text_col, k, similarity, bands, per_sketch))
     texts = keyed.groupBy("__tk").agg(F.min(id_col).alias("least"), F.count(F.lit(1)).alias("n"))
     rooted = stored(texts.join(roots.select(F.col("node").alias("__tk"), "root"), "__tk", "left").select("__tk", "least", "n", F.coalesce("root", "__tk").alias("root")))
     classes = rooted.groupBy("root").agg(F.min("least").alias("class_id"), F.count(F.lit(1)).alias("class_texts"), F.sum("n").alias("class_rows"))
     lead = rooted.join(classes, "root").groupBy("root").agg(F.min(F.when(F.expr("least <=> class_id"), F.col("__tk"))).alias("first_text"))
-    facts = stored(rooted.join(classes, "root").join(lead, "root").select("__tk", "class_id", "class_texts", "class_rows", (F.col("__tk") == F.col("first_text")).alias("leads")))
+    facts = stored(rooted.join(classes, "root").join(lead, "root").select("__tk", "class_id", F.lower(F.hex("first_text")).alias("class_key"), "class_texts", "class_rows", (F.col("__tk") == F.col("first_text")).alias("leads")))
     return keyed.join(facts, "__tk").withColumn("kept", F.col("leads") & F.expr(f"`{id_col}` <=> class_id")).drop("leads", "__tk")
 
 
-def keep_one(marked: DataFrame, text_col: str = "text") -> DataFrame:
-    """The kept row of each class; of rows that repeat it, one.
-
-    Classes are told apart by their kept text, as ids may be null or repeat.
-    """
-    keyed = marked.where("kept").withColumn("__tk", text_key(f"`{text_col}`"))
-    return keyed.dropDuplicates(["__tk"]).drop("__tk")
+def keep_one(marked: DataFrame) -> DataFrame:
+    """The kept row of each class; of rows that repeat it, one."""
+    return marked.where("kept").dropDuplicates(["class_key"])

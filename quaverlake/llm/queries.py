@@ -77,7 +77,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quaverlake.llm.order_minhash import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "class_texts", "class_rows", "kept")
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "class_key", "class_texts", "class_rows", "kept")
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -313,7 +313,7 @@ def classes(spark, texts, **more):
     return [got[i] for i in range(len(texts))]
 
 
-def brute_classes(texts, k=5, bands=12, per_sketch=3):
+def brute_classes(texts, k=5, bands=64, per_sketch=2):
     """Every pair that shares a sketch, judged one by one."""
     words = [[w.lower() for w in t.split()] for t in texts]
     text, band, sketch = order_minhash.sketches(pa.array(texts), k, bands, per_sketch)
@@ -329,6 +329,37 @@ def brute_classes(texts, k=5, bands=12, per_sketch=3):
     return label
 
 
+def edited(rng, words, share, name):
+    """A copy with ``share`` of the words replaced, left out or followed by a new one."""
+    out = list(words)
+    for n, i in enumerate(rng.choice(len(words), int(len(words) * share), replace=False)):
+        out[i] = ([f"{name}n{n}"], [], [words[i], f"{name}n{n}"])[rng.integers(3)]
+    return [w for part in out for w in (part if isinstance(part, list) else [part])]
+
+
+def test_recall_over_all_pairs_within_the_limit(spark):
+    """Classes against the whole definition, sketches aside: pairs edited by 5, 10, 15 and 19 of 100 words."""
+    rng, texts, want = np.random.default_rng(6), [], []
+    for share, least in ((0.05, 100), (0.1, 100), (0.15, 98), (0.19, 90)):
+        want.append(least)
+        for pair in range(100):
+            words = [f"s{share}p{pair}x{i}" for i in range(int(rng.integers(30, 500)))]
+            copy = edited(rng, words, share, f"s{share}p{pair}")
+            assert brute_edits(words, copy) <= int(0.2 * max(len(words), len(copy)) + 1e-9)
+            texts += [" ".join(words), " ".join(copy)]
+    got = classes(spark, texts)
+    found = np.array([got[i] == got[i + 1] for i in range(0, len(texts), 2)]).reshape(4, 100).sum(axis=1)
+    assert (found >= want).all(), found
+    assert len(set(got)) == len(texts) - found.sum()
+
+
+def test_classes_of_null_ids_are_told_apart(spark):
+    a, b = prose(40), prose(40)
+    df = spark.createDataFrame([(None, a), (None, b), (5, prose(30)), (5, prose(50))], "doc_id long, text string")
+    got = order_minhash.near_duplicates(df.withColumn("class_key", F.lit("clash"))).collect()
+    assert len({r["class_key"] for r in got}) == 4 and all(r["kept"] for r in got)
+
+
 def test_drifting_versions_stay_one_class(spark):
     rng, texts = np.random.default_rng(9), []
     for family in range(300):
