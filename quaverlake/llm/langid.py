@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 _STEP = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
 UNKNOWN = "und"
 NO_LETTER = "text is null or not text rlike '\\\\p{L}'"
+HAS_LETTER = f"not ({NO_LETTER})"
 
 
 @dataclass
@@ -163,9 +164,12 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_c
     ``sample`` bounds how many rows the weights and the temperature are fitted on,
     about as many of each language; document frequencies use all rows. Languages
     are few: they are listed on the driver. ``gain`` scales the features (term
-    frequencies are shares of a text's n-grams, so they are small).
+    frequencies are shares of a text's n-grams, so they are small). Rows are sampled by
+    their key and text, so null or repeated keys spread; rows that repeat whole are
+    sampled as one. Texts may be of any length; an empty table, or one that names no
+    language, gives a model of no languages.
     """
-    known = docs.select(F.xxhash64(F.lit("langid"), key_col).alias("pick"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(f"lang is not null and not ({NO_LETTER})")
+    known = docs.select(F.xxhash64(F.lit("langid"), key_col, text_col, lang_col).alias("pick"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(f"lang is not null and not ({NO_LETTER})")
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(counts)
     if not languages:
@@ -178,7 +182,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_c
     idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
     each = max(1, sample // len(languages))
     share = F.create_map(*(F.lit(x) for k in languages for x in (k, min(1.0, each / counts[k]))))
-    chosen = known.where((F.col("pick") / F.lit(2.0**64) + 0.5) < share[F.col("lang")]).select("pick", "text", "lang").mapInArrow(_features(bits), "pick long, lang string, buckets array<int>, counts array<int>")
+    chosen = known.where((F.col("pick") / F.lit(2.0**64) + 0.5) < share[F.col("lang")]).dropDuplicates(["pick"]).select("pick", "text", "lang").mapInArrow(_features(bits), "pick long, lang string, buckets array<int>, counts array<int>")
     rows = []
     for r in sorted(chosen.toLocalIterator(), key=lambda r: r["pick"]):
         at, tf = np.array(r["buckets"], dtype=np.int64), np.array(r["counts"], dtype=np.float64)
