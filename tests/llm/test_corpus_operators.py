@@ -150,6 +150,64 @@ def test_fingerprints(spark):
     assert fingerprints.fingerprint_documents(df.limit(0)).count() == 0
 
 
+def brute_likeness(a, b):
+    """Leaves paired off under equal sections, then equal paragraphs, then one by one."""
+    (x, left), (y, right) = fingerprints.tree(a), fingerprints.tree(b)
+    if x == y:
+        return 1.0
+    total, same = sum(len(p) for side in (left, right) for _, s in side for _, p in s), 0
+    for mark, s in list(left):
+        if found := next((r for r in right if r[0] == mark), None):
+            left.remove((mark, s)), right.remove(found)
+            same += sum(len(p) for _, p in s)
+    left, right = [p for _, s in left for p in s], [p for _, s in right for p in s]
+    for p in list(left):
+        if found := next((q for q in right if q[0] == p[0]), None):
+            left.remove(p), right.remove(found)
+            same += len(p[1])
+    left, right = [x for _, p in left for x in p], [x for _, p in right for x in p]
+    for x in left:
+        if x in right:
+            right.remove(x)
+            same += 1
+    return 2 * same / total if total else 0.0
+
+
+def test_merkle_tree_against_brute_force():
+    lines = [prose(int(n)) for n in np.random.default_rng(3).integers(1, 30, 60)]
+    texts = ["\n".join(lines[i : i + 25] + lines[:3]) for i in range(0, 40, 5)] + ["", " \n", "one", "one two\n\none two"]
+    prints = [f for f, _ in fingerprints.fingerprints(texts)]
+    for text, f in zip(texts, prints, strict=True):
+        root, sections = fingerprints.tree(f)
+        marks = []
+        for mark, paragraphs in sections:
+            assert mark == hashlib.blake2b("".join(d for d, _ in paragraphs).encode(), digest_size=8).hexdigest()
+            marks.append(mark)
+        assert root == hashlib.blake2b("".join(marks).encode() or text.encode(), digest_size=16).hexdigest()
+        assert sum(len(s) for _, s in sections) == sum(bool(line.split()) for line in text.split("\n"))
+        if sections:
+            digest = sections[-1][1][0][0]
+            assert fingerprints.sound(f) and not fingerprints.sound(f.replace(digest, "0" * 16))
+    for a in prints:
+        for b in prints:
+            assert abs(fingerprints.likeness(a, b) - brute_likeness(a, b)) < 1e-12
+
+
+def test_fingerprints_of_hot_and_null_ids(spark):
+    """A third of the rows share an id and a third have none; whatever the ranges, every row follows one other."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, prose(12)) for i in range(600)]
+    got = fingerprints.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()
+    assert len(got) == 600 and sorted(r["n_chars"] for r in got) == sorted(len(t) for _, t in rows)
+    assert len({r["fingerprint"] for r in got}) == len({t for _, t in rows})
+
+
+def test_edit_is_located(spark):
+    rows = [(i, prose(200)) for i in range(20)]
+    for r in fingerprints.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        at = r["n_chars"] - r["n_chars"] // 4
+        assert r["edit_from"] <= at + 1 < r["edit_to"] <= r["n_chars"] and at - r["edit_from"] < 300
+
+
 def test_tree_locates_edits():
     lines = [prose(20) for _ in range(12)]
     changed = [*lines[:5], lines[5] + " more", *lines[6:]]
