@@ -19,7 +19,7 @@ from quaverlake.llm.common import cut
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: absolute or scheme-relative targets of anchors
-LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
+LINK = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,8 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
 def _spread(edges: DataFrame, seeds: DataFrame, source: str, target: str, damping: float, rounds: int, tolerance: float) -> DataFrame:
     """(host, score): personalised PageRank from ``seeds`` along source -> target.
 
-    What hosts without outgoing links hold is not passed on.
+    What hosts without outgoing links hold is not passed on. Rounds go on until scores
+    move by less than ``tolerance`` in all; not to settle within ``rounds`` is an error.
     """
     total = seeds.agg(F.sum("weight").alias("w")).first()["w"]
     start = seeds.select("host", (F.col("weight") / F.lit(total)).alias("score"))
@@ -69,8 +70,8 @@ def _spread(edges: DataFrame, seeds: DataFrame, source: str, target: str, dampin
         moved = after.alias("a").join(scores.alias("b"), "host", "full").agg(F.sum(F.abs(F.coalesce("a.score", F.lit(0.0)) - F.coalesce("b.score", F.lit(0.0)))).alias("d")).first()["d"]
         scores = after
         if moved < tolerance:
-            break
-    return scores
+            return scores
+    raise RuntimeError(f"scores still moved by {moved} after {rounds} rounds")
 
 
 def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -80,12 +81,13 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return found.where("src <> '' and dst <> src").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", damping: float = 0.85, rounds: int = 30, tolerance: float = 1e-6, threshold: float = 0.5) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", damping: float = 0.85, rounds: int = 500, tolerance: float = 1e-6, threshold: float = 0.5) -> DataFrame:
     """(id, host, path, rule, verdict, trust, distrust), one row per page.
 
     A null url, or one without ``://``, has an empty host and path, fits no rule and is
     allowed (nothing speaks against it); a null html has no links; rows that repeat
-    are judged each; other columns are ignored; no pages give no rows.
+    are judged each; urls and pages may be of any length; of rules of equal length the
+    blocking one wins; other columns are ignored; no pages give no rows.
     """
     judged = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")).withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
     side = F.when(F.col("fit.verdict") == "allow", 1.0).otherwise(-1.0)
