@@ -80,15 +80,18 @@ def mixture(totals: DataFrame, target_entropy: float, max_repetition: float, bud
     total = float(facts["t"])
     shares = cut(totals.withColumn("p", F.col("tokens") / F.lit(total)))
     size = total if budget is None else float(budget)
+    if size > max_repetition * total * (1 + 1e-9):
+        raise ValueError(f"a budget of {size:g} tokens repeats {total:g} more than {max_repetition:g} times whatever the weights")
     by_entropy, by_repetition = _bisect(shares, target_entropy * _log(facts["n"]), size / total, max_repetition)
     exponent = max(by_entropy, by_repetition)
     if cover:  # the largest budget's least repeated source sees one whole pass
         ends = shares.agg(F.max(F.pow("p", F.lit(exponent - 1))).alias("most"), F.min(F.pow("p", F.lit(exponent - 1))).alias("least"), F.sum(F.pow("p", F.lit(exponent))).alias("z"))
-        for _ in range(60):
+        while True:
             row = ends.first()
-            if row["most"] / row["least"] <= max_repetition or exponent >= 1.0:
+            if row["most"] / row["least"] <= max_repetition * (1 + 1e-12) or exponent >= 1.0:
                 break
-            exponent = min(1.0, 1.0 - (1.0 - exponent) * 0.9)
+            # proportional weights, at which every source is seen alike, are the end
+            exponent = 1.0 - (1.0 - exponent) * 0.9 if exponent < 0.999 else 1.0
             ends = shares.agg(F.max(F.pow("p", F.lit(exponent - 1))).alias("most"), F.min(F.pow("p", F.lit(exponent - 1))).alias("least"), F.sum(F.pow("p", F.lit(exponent))).alias("z"))
         size = total * row["z"] / row["least"]
     z = shares.agg(F.sum(F.pow("p", F.lit(exponent))).alias("z")).first()["z"]
@@ -105,7 +108,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     than remain stand before it in that pass's order, so quotas are met within a
     document. Documents without a word (null or empty texts) carry no tokens and are
     drawn once, in block 0. A null source is a source of its own; rows that repeat
-    are drawn each; null ids are allowed; columns of added names are replaced; no
+    are drawn each; null ids are allowed; texts may be of any length; ties of the draw
+    order go by id, then text; a budget that no weights can meet within ``max_repetition``
+    is an error; columns of added names are replaced; no
     rows give no rows. ``draw_key`` orders a block.
     """
     docs = docs.drop("block", "tokens", "weight", "draw_key")
