@@ -144,84 +144,106 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def _completions(lengths: list[int], have: dict[int, int], room: int, limit: int) -> list[Filling]:
-    """Fillings of ``room``, fullest first, none dominated by swapping in a longer piece that fits."""
+def _dominated(used: Counter, left: int, have: dict[int, int], lengths: list[int]) -> bool:
+    """Whether an unused piece could stand in for some of the chosen, leaving no more room: those are then best kept."""
+    single, several = 0, 0  # bit s: a sum of one piece, of two or more
+    for k, n in used.items():
+        for _ in range(n):
+            several |= (several | single) << k
+            single |= 1 << k
+    window = (1 << (left + 1)) - 1
+    for k in lengths:
+        if used[k] < have[k]:
+            # subsets whose sum is k at most and k - left at least
+            low = max(0, k - left)
+            reach = (1 << (k - low + 1)) - 1 & window
+            if several >> low & reach or single >> low & reach & ~(1 << (k - low)):
+                return True
+    return False
+
+
+def _completions(lengths: list[int], have: dict[int, int], room: int, limit: int) -> tuple[list[Filling], bool]:
+    """Undominated fillings of ``room``, fullest first, and whether these are all (``limit`` bounds the search)."""
     found: list[tuple[int, Filling]] = []
     visits = 0
 
-    def grow(i: int, left: int, chosen: list[int]) -> None:
+    def grow(i: int, left: int, used: Counter) -> None:
         nonlocal visits
         visits += 1
         if len(found) >= limit or visits > 50 * limit:
             return
         fits = False
-        used = Counter(chosen)
         for j in range(i, len(lengths)):
             k = lengths[j]
             if k <= left and used[k] < have[k]:
                 fits = True
-                grow(j, left - k, [*chosen, k])
-        if not fits:
-            # a longer unused piece in place of one chosen would leave less waste
-            for k in set(chosen):
-                at = bisect.bisect_right(rising, k + left) - 1
-                while at >= 0 and rising[at] > k:
-                    if used[rising[at]] < have[rising[at]]:
-                        return
-                    at -= 1
-            found.append((left, tuple(sorted(used.items(), reverse=True))))
-
-    rising = sorted(lengths)
-    grow(0, room, [])
-    return [f for _, f in sorted(set(found))][:limit]
+                used[k] += 1
+                grow(j, left - k, used)
+                used[k] -= 1
+        if not fits and not any(k <= left and used[k] < have[k] for k in lengths) and not _dominated(used, left, have, lengths):
+            found.append((left, tuple(sorted(((k, n) for k, n in used.items() if n), reverse=True))))
+
+    grow(0, room, Counter())
+    return [f for _, f in sorted(set(found))], len(found) < limit and visits <= 50 * limit
 
 
 def complete(counts: dict[int, int], capacity: int, nodes: int = 2000, width: int = 12) -> list[tuple[Filling, int]]:
     """Bin completion: branch on the fillings around the largest piece, best-fit as incumbent.
 
-    A branch is left when its waste exceeds what a better solution may waste. The
-    search ends at the lower bound or after ``nodes`` branches (then the incumbent
-    stands); each branch repeats its filling as often as the pieces allow.
+    A branch takes a filling any number of times, most first, and is left when its waste
+    exceeds what a better solution may waste. The search ends at the lower bound, when
+    all undominated fillings are tried, or after ``nodes`` branches (the incumbent then
+    stands). It starts with at most ``width`` fillings a branch and doubles that while
+    branches are left.
     """
     counts = {k: n for k, n in counts.items() if n}
     incumbent = best_fit(counts, capacity)
     used, bound = sum(n for _, n in incumbent), lower_bound(counts, capacity)
     total = sum(k * n for k, n in counts.items())
-    left = [nodes]
+    left, whole = nodes, True
 
-    def branch(have: dict[int, int], made: list[tuple[Filling, int]], bins: int, waste: int) -> None:
-        nonlocal incumbent, used
-        if used <= bound or left[0] <= 0:
-            return
-        left[0] -= 1
-        if not have:
-            if bins < used:
-                incumbent, used = list(made), bins
+    def branch(have: dict[int, int], made: list[tuple[Filling, int]], bins: int, waste: int, barred: tuple[int, frozenset]) -> None:
+        nonlocal incumbent, used, left, whole
+        if used <= bound or left <= 0:
             return
+        left -= 1
         rest = best_fit(have, capacity)
         if bins + (n := sum(c for _, c in rest)) < used:
             incumbent, used = [*made, *rest], bins + n
+        if not have:
+            return
         largest = max(have)
-        others = dict(have)
-        others[largest] -= 1
+        others = have | {largest: have[largest] - 1}
         lengths = sorted((k for k, n in others.items() if n and k <= capacity - largest), reverse=True)
-        for filling in _completions(lengths, others, capacity - largest, width):
+        fillings, all_ = _completions(lengths, others, capacity - largest, width)
+        whole &= all_
+        done = barred[1] if barred[0] == largest else frozenset()
+        for filling in fillings:
+            # bins around one length hold fillings in one order, so that no other order of them is tried
+            if filling in done:
+                continue
+            done |= {filling}
             need = Counter(dict(filling))
             need[largest] += 1
-            times = min(have[k] // n for k, n in need.items())
-            idle = waste + times * (capacity - sum(k * n for k, n in need.items()))
-            if idle > (used - 1) * capacity - total:
-                continue
-            after = {k: n - times * need[k] for k, n in have.items() if n > times * need[k]}
-            branch(after, [*made, (tuple(need.items()), times)], bins + times, idle)
-
-    if used > bound:
-        before = sys.getrecursionlimit()
-        sys.setrecursionlimit(max(before, 4 * nodes + 8 * capacity))
-        try:
-            branch(counts, [], 0, 0)
-        finally:
-            sys.setrecursionlimit(before)
+            each = capacity - sum(k * n for k, n in need.items())
+            for times in range(min(have[k] // n for k, n in need.items()), 0, -1):
+                idle = waste + times * each
+                if idle > (used - 1) * capacity - total or used <= bound or left <= 0:
+                    continue
+                after = {k: n - times * need[k] for k, n in have.items() if n > times * need[k]}
+                branch(after, [*made, (tuple(need.items()), times)], bins + times, idle, (largest, done))
+
+    before = sys.getrecursionlimit()
+    sys.setrecursionlimit(max(before, 4 * nodes + 8 * capacity))
+    try:
+        while used > bound and left > 0:
+            whole = True
+            branch(counts, [], 0, 0, (0, frozenset()))
+            if whole:
+                break
+            width *= 2
+    finally:
+        sys.setrecursionlimit(before)
     return incumbent
 
 
@@ -245,8 +267,9 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, piece, start, length, crc, sequence_id, offset[, ids]) of every piece.
 
     A null text is empty (its only token is ``end_id``); rows that repeat, also by
-    id, are packed each; null ids stay null; other columns are ignored; no rows give
-    no pieces. ``group`` bounds how many pieces of one length are numbered together.
+    id, are packed each; null ids stay null; texts may be of any length; pieces of one
+    length are interchangeable, their ties go by id, piece and checksum; other columns
+    are ignored; no rows give no pieces. ``group`` bounds how many pieces of one length are numbered together.
     """
     if tokenizer_path is None:
         import public_tokenizers

@@ -86,6 +86,28 @@ def test_mixing_meets_quotas(spark):
     assert mixing.mix_sources(df.limit(0)).count() == 0
 
 
+def test_mixture_against_a_fine_search(spark):
+    """The exponent: the largest of a fine grid that reaches the entropy, unless the repetition limit asks for more."""
+    tokens = np.array([900_000, 40_000, 30_000, 2_000, 500])
+    totals = spark.createDataFrame([(f"s{i}", int(n)) for i, n in enumerate(tokens)], "source string, tokens long")
+    p = tokens / tokens.sum()
+    grid = np.linspace(0, 1, 200_001)
+    powers = p[None, :] ** grid[:, None]
+    weights = powers / powers.sum(axis=1, keepdims=True)
+    entropy = -(weights * np.log(weights)).sum(axis=1)
+    repeats = (weights / p[None, :]).max(axis=1)
+    for target, limit in ((0.5, 1e9), (0.9, 1e9), (0.9, 4.0), (0.3, 1.5), (1.0, 1e9)):
+        by_entropy = grid[entropy >= target * np.log(5) - 1e-12].max(initial=0)
+        want = max(by_entropy, grid[repeats <= limit].min())
+        got = mixing.mixture(totals, target, limit, None, False)
+        assert got.exponent == pytest.approx(want, abs=2e-5)
+        rows = {r["source"]: r["weight"] for r in got.sources.collect()}
+        made = p**got.exponent / (p**got.exponent).sum()
+        assert [rows[f"s{i}"] for i in range(5)] == pytest.approx(made.tolist())
+    with pytest.raises(ValueError, match="repeats"):
+        mixing.mixture(totals, 0.9, 4.0, 5.0 * tokens.sum(), False)
+
+
 # -- embeddings
 
 
@@ -251,6 +273,44 @@ def test_url_rules_and_graph(spark):
     assert url_filters.judge_urls(df.limit(0), URL_RULES).count() == 0
 
 
+def test_scores_against_dense_pagerank(spark):
+    """Trust along and distrust against host links, solved as linear equations."""
+    rng = np.random.default_rng(2)
+    hosts = [f"h{i}.{'com' if i % 3 else 'org'}" for i in range(24)]
+    n = np.zeros((24, 24))
+    rows = []
+    for page in range(160):
+        src, targets = int(rng.integers(24)), rng.integers(24, size=4)
+        path = ("/fr/", "/de/", "/x/")[page % 3]
+        rows.append((page, f"http://{hosts[src]}{path}{page}", "".join(f"<a data-href='//no.where' href='http://{hosts[t]}/'>" for t in targets)))
+        for t in targets:
+            n[src, t] += t != src
+    got = url_filters.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), URL_RULES).collect()
+    net = {h: [] for h in hosts}
+    for r in got:
+        if r["rule"]:
+            net[r["host"]].append(1.0 if r["verdict"] == "allow" else -1.0)
+    net = np.array([np.mean(net[h]) if net[h] else 0.0 for h in hosts])
+
+    def solved(links, seeds):
+        share = links / np.maximum(links.sum(axis=1, keepdims=True), 1)
+        return np.linalg.solve(np.eye(24) - 0.85 * share.T, 0.15 * seeds / seeds.sum())
+
+    trust, distrust = solved(n, np.maximum(net, 0)), solved(n.T, np.maximum(-net, 0))
+    for r in got:
+        i = hosts.index(r["host"])
+        assert abs(r["trust"] - trust[i]) < 1e-5 and abs(r["distrust"] - distrust[i]) < 1e-5
+        if not r["rule"]:
+            known = ((trust > 0) | (distrust > 0)).sum()
+            assert r["verdict"] == ("block" if distrust[i] - trust[i] > 0.5 / known else "allow")
+
+
+def test_unsettled_scores_are_an_error(spark):
+    rows = [(1, "http://a.com/fr/", "<a href='http://b.com/'>"), (2, "http://b.com/", "<a href='http://a.com/'>")]
+    with pytest.raises(RuntimeError, match="moved"):
+        url_filters.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), URL_RULES, rounds=3)
+
+
 # -- chat
 
 
@@ -551,6 +611,17 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert back == counts and sum(n for _, n in made) == exact_bins(items, 60) >= packing.lower_bound(counts, 60)
 
 
+def test_bin_completion_with_many_equal_pieces():
+    """Cases where bins must mix fillings of one largest piece, or repeat one less often than the pieces allow."""
+    rng = np.random.default_rng(12)
+    for _ in range(60):
+        lengths = rng.choice(np.arange(4, 31), 4, replace=False).tolist()
+        counts = {k: int(rng.integers(1, 4)) for k in lengths}
+        made = packing.complete(counts, 40, nodes=20_000)
+        items = sorted((k for k, n in counts.items() for _ in range(n)), reverse=True)
+        assert sum(n for _, n in made) == exact_bins(items, 40)
+
+
 def test_wordhash_windows_match_words():
     from quaverlake.llm.wordhash import Words
 
