@@ -268,10 +268,13 @@ def first_unallocated(tasks: DataFrame, taken: DataFrame, key: str, at: str, n:
     return tasks.join(taken.select(key), key, "left_anti").orderBy(at, key).limit(n)
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Old rows replaced by new ones of the same key (K6's key merge)."""
+def upsert(old: DataFrame, new: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Old rows replaced by new ones of the same key (K6's key merge); of several new ones the last by ``order``."""
     rows = old.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)), allowMissingColumns=True)
-    return rows.groupBy(key).agg(*(F.max_by(c, "__new").alias(c) for c in rows.columns if c not in (key, "__new")))
+    age = F.struct("__new", *([order] if order else []))
+    held = [c for c in rows.columns if c not in (key, "__new")]
+    last = rows.groupBy(key).agg(F.max_by(F.struct(*held), age).alias("__row"))
+    return last.select(key, *(F.col(f"__row.`{c}`").alias(c) for c in held))
 
 
 def rank_slice(paths: DataFrame, path: str, rank: int, world: int) -> DataFrame:

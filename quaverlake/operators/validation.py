@@ -49,7 +49,7 @@ def final_sections(sections: DataFrame, transcribed: DataFrame | None, key: str,
 
 def assemble(base: DataFrame, key: str, alm: DataFrame | None, cpu: DataFrame, structure: DataFrame, sections: DataFrame, asr: DataFrame | None) -> DataFrame:
     """Final annotations. ``base``: accepted tracks with audio_path, source_relpath, duration, content_type,
-    content_confidence, global_mir (map), model_versions, stage_versions; ``alm``: ALM_Caption; ``cpu``: chords,
+    content_confidence, global_mir (map), model_versions, stage_versions and, if it was kept, music_gate; ``alm``: ALM_Caption; ``cpu``: chords,
     beatnet, key (strings); ``structure``: structure_raw; ``sections``: nested sections; ``asr``: full_transcript.
     """
     out = base
@@ -80,6 +80,7 @@ def assemble(base: DataFrame, key: str, alm: DataFrame | None, cpu: DataFrame, s
         versions.alias("model_versions"),
         F.lit(PIPELINE_VERSION).alias("pipeline_version"),
         F.lit(SCHEMA_VERSION).alias("annotation_schema_version"),
+        *(["music_gate"] if "music_gate" in base.columns else []),
     )
 
 

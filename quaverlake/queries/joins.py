@@ -148,14 +148,14 @@ def overlap_argmax(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "WITH "
     + FRAMES
-    + """, x AS (SELECT user_id, list(p ORDER BY t, event_id) AS v FROM f GROUP BY 1), w AS (SELECT user_id, v, k, k * 13.7 AS a, (k + 1) * 13.7 AS z FROM x, (SELECT unnest(range(4)) AS k)),
-c AS (SELECT user_id, k, v[greatest(0, floor(a / 2.5))::INT + 1 : least(len(v), ceil(z / 2.5))::INT] AS s FROM w) SELECT user_id, k, len(s) AS frames, round(list_avg(s), 4) AS mean FROM c"""
+    + """, x AS (SELECT user_id, list(p ORDER BY t, event_id) AS v FROM f GROUP BY 1), w AS (SELECT user_id, v, k, k * 13.7 AS a, (k + 1) * 13.7 AS z FROM (SELECT user_id, v, unnest(range(ceil(len(v) * 2.5 / 13.7)::BIGINT)) AS k FROM x)),
+c AS (SELECT user_id, k, v[greatest(0, floor(a / 2.5))::INT + 1 : least(len(v), ceil(z / 2.5))::INT] AS s FROM w) SELECT user_id, k, len(s) AS frames, round(list_avg(s) + 1e-9, 4) AS mean FROM c"""
 )
 def interval_slice(spark: SparkSession, d: str) -> DataFrame:
     held = frames(spark, d).groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("t", "event_id", "p"))).alias("v")).select("user_id", F.col("v.p").alias("v"))
-    w = held.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long")))).withColumn("s", J.frame_slice("v", F.col("k") * 13.7, (F.col("k") + 1) * 13.7, 2.5))
+    w = held.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.size("v") * 2.5 / 13.7) - 1))).withColumn("s", J.frame_slice("v", F.col("k") * 13.7, (F.col("k") + 1) * 13.7, 2.5))
     mean = F.when(F.size("s") > 0, F.aggregate("s", F.lit(0.0), lambda a, x: a + x) / F.size("s"))
-    return w.select("user_id", "k", F.size("s").cast("long").alias("frames"), F.round(mean, 4).alias("mean"))
+    return w.select("user_id", "k", F.size("s").cast("long").alias("frames"), F.round(mean + 1e-9, 4).alias("mean"))
 
 
 @query(

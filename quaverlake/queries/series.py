@@ -235,9 +235,18 @@ def section_postprocess(spark: SparkSession, d: str) -> DataFrame:
     return I.postprocess_sections(s, "user_id", beats)
 
 
-@query()
+@query(
+    "WITH "
+    + RUNS
+    + """, m AS (SELECT user_id, n, raw_start / 10000 AS time, label, count(*) OVER (PARTITION BY user_id) AS total, min(raw_start / 10000) OVER (PARTITION BY user_id) AS head, max(raw_start / 10000) OVER (PARTITION BY user_id) AS tail FROM s),
+o AS (SELECT user_id, max_by(label, n) AS opening FROM m WHERE n = 1 OR (n < total AND time - head < 1) GROUP BY 1),
+k AS (SELECT user_id, n, time, CASE WHEN n = 1 THEN opening ELSE label END AS label, opening, n > 1 AND n < total AS inside, tail FROM m JOIN o USING (user_id) WHERE n = 1 OR n = total OR (time - head >= 1 AND tail - time >= 1)),
+z AS (SELECT * FROM k WHERE NOT inside OR n >= (SELECT coalesce(min(x.n), 1e9) FROM k x WHERE x.user_id = k.user_id AND x.inside AND (x.label <> x.opening OR x.time > 10))),
+g AS (SELECT *, inside AND label = lag(label) OVER (PARTITION BY user_id ORDER BY n) AND tail - time <= 10 AS again FROM z)
+SELECT user_id, time, label FROM g WHERE NOT inside OR n <= (SELECT coalesce(max(x.n), 0) FROM g x WHERE x.user_id = g.user_id AND x.inside AND NOT coalesce(x.again, false))"""
+)
 def structure_tidy(spark: SparkSession, d: str) -> DataFrame:
-    return I.tidy_structure(runs(spark, d).select("user_id", (F.col("raw_start") / 10000).alias("time"), "label"), "user_id")
+    return I.tidy_structure(runs(spark, d).select("user_id", (F.col("raw_start") / 10000).alias("time"), "label", "n"), "user_id", "n")
 
 
 @query()

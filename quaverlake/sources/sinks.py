@@ -15,8 +15,14 @@ ROUTES = ["accepted.music", "accepted.song", "accepted.instrumental", "review",
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
-    """Replace a JSON-lines table as a whole."""
-    serialisable(df).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    """Replace a JSON-lines table as a whole: written beside it first, so a failed job leaves the old one."""
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex[:8]}"
+    try:
+        serialisable(df).write.option("ignoreNullFields", False).json(staged)
+    except Exception:
+        Files(df.sparkSession, path).delete(staged)
+        raise
+    swap(df.sparkSession, staged, path)
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:

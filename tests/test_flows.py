@@ -164,3 +164,13 @@ def test_stream_equals_table(spark, data):
 def test_source_bounds(spark):
     with pytest.raises(ValueError):
         streams.source(spark, "/tmp", "a int", files_per_trigger=0)
+
+
+def test_failed_rewrite_keeps_the_old_table(spark, tmp_path):
+    from quaverlake.sources import sinks
+
+    path = str(tmp_path / "t.jsonl")
+    sinks.write_jsonl(spark.range(3), path)
+    with pytest.raises(Exception, match="boom"):
+        sinks.write_jsonl(spark.range(2).selectExpr("raise_error('boom') AS id"), path)
+    assert spark.read.json(path).count() == 3 and [p.name for p in tmp_path.iterdir() if "staged" in p.name] == []

@@ -87,9 +87,47 @@ def test_sections_cover_the_track(parts, beats):
     assert np.allclose(out["start"].iloc[1:], out["end"].iloc[:-1]) and (out["label"].iloc[1:].to_numpy() != out["label"].iloc[:-1].to_numpy()).all()
 
 
-def test_tidy_marks():
-    assert I.tidy_marks([(0.0, "a"), (0.5, "b"), (20.0, "c"), (39.5, "d"), (40.0, "end")]) == [(0.0, "b"), (20.0, "c"), (40.0, "end")]
-    assert I.tidy_marks([(0.0, "a"), (8.0, "a"), (30.0, "b"), (40.0, "end")]) == [(0.0, "a"), (30.0, "b"), (40.0, "end")]
+def plain_tidy(times, labels):
+    """The rule word for word: marks near the ends, then repeats near the ends."""
+    end, inner = times[-1], range(1, len(times) - 1)
+    near = [i for i in range(len(times) - 1) if i == 0 or times[i] - times[0] < 1]
+    kept = [i for i in inner if times[i] - times[0] >= 1 and end - times[i] >= 1]
+    opening = labels[near[-1]]
+    while kept and labels[kept[0]] == opening and times[kept[0]] <= 10:
+        kept = kept[1:]
+    while kept and end - times[kept[-1]] <= 10 and labels[kept[-1]] == (labels[kept[-2]] if len(kept) > 1 else opening):
+        kept = kept[:-1]
+    return [(times[0], opening), *((times[i], labels[i]) for i in kept), (end, labels[-1])]
+
+
+def test_tidy_structure(spark):
+    rng, rows, want = np.random.default_rng(5), [], {}
+    tracks = [([0.0, 0.4, 18.0, 33.2, 33.9], ["p", "q", "r", "s", "end"]), ([2.0, 9.0, 26.0, 41.0], ["p", "p", "q", "end"]), ([0.0, 5.0], ["p", "end"])]
+    for _ in range(60):
+        times = np.round(np.cumsum(rng.choice([0.3, 0.7, 1.5, 4.0, 12.0], rng.integers(2, 12))), 3).tolist()
+        tracks.append((times, [*rng.choice(list("pqr"), len(times) - 1).tolist(), "end"]))
+    for track, (times, labels) in enumerate(tracks):
+        rows += [(track, t, x, i) for i, (t, x) in enumerate(zip(times, labels, strict=True))]
+        want[track] = plain_tidy(times, labels)
+    got: dict = {}
+    for r in sorted(I.tidy_structure(spark.createDataFrame(rows, "track long, time double, label string, i long"), "track", "i").collect()):
+        got.setdefault(r["track"], []).append((r["time"], r["label"]))
+    assert got == want
+
+
+def test_forced_stops_follow_the_best_place_ahead():
+    curve = np.random.default_rng(7).random(400)
+    want, at = [], 0
+    while 400 - at > 60:
+        at += 20 + int(np.argmax(curve[at + 20 : at + 60]))
+        want.append(at)
+    assert I._stops(curve, 20, 60).tolist() == want and not len(I._stops(curve, 20, 20)) and not len(I._stops(curve[:50], 20, 60))
+
+
+def test_upsert_takes_the_last_new_row(spark):
+    old = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "k long, v string, at long")
+    new = spark.createDataFrame([(1, "late", 9), (1, "early", 3), (3, None, 1)], "k long, v string, at long")
+    assert {r["k"]: r["v"] for r in J.upsert(old, new, "k", "at").collect()} == {1: "late", 2: "b", 3: None}
 
 
 def test_instrumental_decoder_finds_blocks():
