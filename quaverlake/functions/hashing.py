@@ -11,22 +11,55 @@ def content_id(content: Column | str) -> Column:
     return F.sha2(F.col(content) if isinstance(content, str) else content, 256)
 
 
-def canonical(fields: dict[str, Column]) -> Column:
+def json_float(c: Column | str) -> Column:
+    """Shortest decimal of a double: plain from 1e-4 up to 1e16, else with an exponent of two digits or more; null stays null.
+
+    The fewest of 15, 16 and 17 digits that read back as the same number are taken, as
+    the JVM's own text is not always the shortest. Subnormal numbers may keep a digit more.
+    """
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    digits = lambda n: F.format_string(f"%.{n - 1}e", x)
+    written = F.when(digits(15).cast("double") == x, digits(15)).when(digits(16).cast("double") == x, digits(16)).otherwise(digits(17))
+    sign, head = F.regexp_extract(written, "^(-?)", 1), F.regexp_extract(written, "^-?([0-9])", 1)
+    tail, power = F.regexp_extract(written, "\\.([0-9]*?)0*e", 1), F.regexp_extract(written, "e([+-][0-9]+)$", 1).try_cast("int")
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), head, tail)
+    filled = F.concat(head, F.rpad(tail, F.greatest(F.length(tail), power), "0"))
+    rest = F.substr(filled, power + 2)
+    large = F.concat(F.substr(filled, F.lit(1), power + 1), F.lit("."), F.when(rest == "", "0").otherwise(rest))
+    exponent = F.regexp_extract(written, "(e[+-][0-9]+)$", 1)
+    wide = F.concat(head, F.when(tail != "", F.concat(F.lit("."), tail)).otherwise(""), exponent)
+    plain = F.when((power < 0) & (power >= -4), small).when((power >= 0) & (power < 16), large).otherwise(wide)
+    return F.when(x.isNotNull(), F.when(power.isNull(), written).otherwise(F.concat(sign, plain)))
+
+
+def canonical(fields: dict[str, Column], floats: tuple[str, ...] = ()) -> Column:
     """Compact JSON of named columns in the order of their names, nulls kept.
 
-    Exact for strings, integers and booleans; floating-point columns should be
-    formatted first, as JSON writers differ in exponents.
+    Strings, integers, booleans and nested columns of these as they are; floating-point
+    columns must be named in ``floats``. Control characters are escaped in upper-case hex.
     """
-    return F.to_json(F.struct(*(fields[k].alias(k) for k in sorted(fields))), {"ignoreNullFields": "false"})
+    whole = {"ignoreNullFields": "false"}
+    if not floats:
+        return F.to_json(F.struct(*(fields[k].alias(k) for k in sorted(fields))), whole)
+    inner = lambda k: F.regexp_replace(F.to_json(F.struct(fields[k].alias(k)), whole), "^\\{|\\}$", "")
+    part = lambda k: F.concat(F.lit(f'"{k}":'), F.coalesce(json_float(fields[k]), F.lit("null"))) if k in floats else inner(k)
+    return F.concat(F.lit("{"), F.concat_ws(",", *(part(k) for k in sorted(fields))), F.lit("}"))
+
+
+def fingerprint(fields: dict[str, Column], floats: tuple[str, ...] = ()) -> Column:
+    return F.sha2(canonical(fields, floats), 256)
 
 
-def fingerprint(fields: dict[str, Column]) -> Column:
-    return F.sha2(canonical(fields), 256)
+def input_fingerprint(stage: str, audio_id: Column, audio_path: Column, source_relpath: Column, duration: Column, content_type: Column) -> Column:
+    """What a stage's result depends on; a missing id counts as blank."""
+    fields = {"stage": F.lit(stage), "audio_id": F.coalesce(audio_id.cast("string"), F.lit("")), "audio_path": audio_path, "source_relpath": source_relpath, "duration": duration, "content_type": content_type}
+    return fingerprint(fields, ("duration",))
 
 
-def record_fingerprint(stage: str, fields: dict[str, Column], ignored: tuple[str, ...] = ()) -> Column:
-    """Fingerprint of a whole record under a stage, provenance left out."""
-    return fingerprint({"stage": F.lit(stage), **{f"record.{k}": v for k, v in fields.items() if k not in ignored}})
+def record_fingerprint(stage: str, fields: dict[str, Column], ignored: tuple[str, ...] = (), floats: tuple[str, ...] = ()) -> Column:
+    """Fingerprint of a whole record, nested beside its stage, provenance left out."""
+    record = canonical({k: v for k, v in fields.items() if k not in ignored}, tuple(k for k in floats if k not in ignored))
+    return F.sha2(F.concat(F.lit('{"record":'), record, F.lit(","), F.substr(canonical({"stage": F.lit(stage)}), F.lit(2))), 256)
 
 
 def request_id(job: Column, audio: Column, stage: Column, input_fingerprint: Column) -> Column:
@@ -34,12 +67,15 @@ def request_id(job: Column, audio: Column, stage: Column, input_fingerprint: Col
     return F.sha2(F.concat_ws("\x00", job, audio, stage, input_fingerprint), 256)
 
 
-def sections_hash(sections: Column | str) -> Column:
-    """Hash of a section plan: ids, bounds to 6 places, label, coverage."""
+def sections_hash(audio_id: Column, content_type: Column, sections: Column | str) -> Column:
+    """Hash of a track's section plan as canonical JSON: ids, bounds to 6 places (0 if missing), label, coverage."""
     s = F.col(sections) if isinstance(sections, str) else sections
-    exact = lambda c: F.format_string("%.6f", F.round(c.cast("double"), 6))
-    plan = F.transform(s, lambda x: F.concat_ws("|", x["section_id"], exact(x["start"]), exact(x["end"]), F.coalesce(x["label"], F.lit("")), exact(F.coalesce(x["voice_coverage"], F.lit(0.0)))))
-    return F.sha2(F.array_join(plan, "\n"), 256)
+    bound = lambda c: F.coalesce(F.bround(c.cast("double"), 6), F.lit(0.0))
+    blank = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    one = lambda x: canonical({"section_id": blank(x["section_id"]), "start": bound(x["start"]), "end": bound(x["end"]), "label": x["label"], "voice_coverage": x["voice_coverage"]}, ("start", "end", "voice_coverage"))
+    plan = F.coalesce(F.array_join(F.transform(s, one), ","), F.lit(""))
+    track = F.regexp_replace(canonical({"audio_id": blank(audio_id), "content_type": blank(content_type)}), "\\}$", "")
+    return F.sha2(F.concat(track, F.lit(',"sections":['), plan, F.lit("]}")), 256)
 
 
 def short_id(value: Column | str, length: int = 24) -> Column:

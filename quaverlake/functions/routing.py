@@ -215,6 +215,29 @@ def downbeats(beats: Column | str) -> Column:
     return F.array_sort(F.array_distinct(F.transform(first, lambda b: b["timestamp"].cast("double"))))
 
 
+def paired_beats(pairs: Column | str) -> Column:
+    """Beats given as (time, number) pairs in the form ``downbeats`` reads; shorter ones go."""
+    whole = F.filter(_col(pairs), lambda p: F.size(p) >= 2)
+    return F.transform(whole, lambda p: F.struct(F.element_at(p, 1).alias("timestamp"), F.element_at(p, 2).alias("beat")))
+
+
+def first_filled(*arrays: Column | str) -> Column:
+    """The first array that holds anything: sources in the order of their precedence."""
+    return F.coalesce(*(F.when(F.size(_col(a)) > 0, _col(a)) for a in arrays))
+
+
+def split_known(fields: Column | str, known: list[str]) -> tuple[Column, Column]:
+    """(known, extra) parts of a map of fields."""
+    m = _col(fields)
+    return F.map_filter(m, lambda k, v: k.isin(known)), F.map_filter(m, lambda k, v: ~k.isin(known))
+
+
+def joined_fields(known: Column | str, extra: Column | str, left_out: tuple[str, ...] = ("audio_bytes",)) -> Column:
+    """One map again: known fields without nulls and raw bytes, extra ones as they came."""
+    kept = F.map_filter(_col(known), lambda k, v: v.isNotNull() & ~k.isin(*left_out))
+    return F.map_concat(kept, F.coalesce(_col(extra), F.map_filter(kept, lambda k, v: F.lit(False))))
+
+
 def music_score(probabilities: Column | str, classes: list[int] = MUSIC_CLASSES) -> Column:
     """Largest probability of the music classes; anything but probabilities is an error."""
     p = _col(probabilities)

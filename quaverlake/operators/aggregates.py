@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaverlake.functions.hashing import multiset_hash
-from quaverlake.functions.values import rate, seconds_per_item
+from quaverlake.functions.values import rate, seconds_per_item, unit
 from quaverlake.operators.sequences import longest_run, over
-from quaverlake.plans.vocabulary import BAD_ASR_STATUS, STAGE_ORDER, VOICE_HOP_SECONDS
+from quaverlake.plans.vocabulary import FAILED_ASR_STATUS, STAGE_ORDER, VOICE_HOP_SECONDS
 
 Keys = list[str]
 
@@ -154,12 +154,14 @@ def transcript(sections: DataFrame, keys: Keys, order: Keys, lyrics: str) -> Dat
     return held.select(*keys, F.nullif(F.array_join(F.col("__lines.__text"), "\n"), F.lit("")).alias("full_transcript"))
 
 
-def asr_roll_up(sections: DataFrame, keys: Keys, order: Keys) -> DataFrame:
-    """(keys, stage_status, stage_error): sections with an unfinished status fail the record."""
-    bad = F.col("asr_status").isNull() | F.col("asr_status").isin(BAD_ASR_STATUS)
-    detail = F.concat_ws(":", F.col("section_id"), F.coalesce("asr_status", F.lit("none")), F.coalesce("asr_error", "alignment_error", F.lit("")))
-    held = sections.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(bad, F.struct(*order, detail.alias("d"))))).alias("bad"))
-    return held.select(*keys, F.when(F.size("bad") > 0, "error").otherwise("ok").alias("stage_status"), F.when(F.size("bad") > 0, F.array_join(F.col("bad.d"), "; ")).alias("stage_error"))
+def asr_roll_up(tracks: DataFrame, sections: DataFrame, keys: Keys, order: Keys) -> DataFrame:
+    """(keys, stage_status, stage_error): failed sections fail a track, and so does having none."""
+    given = lambda c: F.nullif(F.col(c), F.lit(""))
+    detail = F.concat(F.col("section_id"), F.lit(": "), F.coalesce(given("alignment_error"), given("asr_error"), "asr_status"))
+    failed = F.when(F.col("asr_status").isin(FAILED_ASR_STATUS), F.struct(*order, detail.alias("d")))
+    held = sections.groupBy(*keys).agg(F.array_sort(F.collect_list(failed)).alias("bad"))
+    problem = F.when(F.col("bad").isNull(), "input contains no sections").when(F.size("bad") > 0, F.array_join(F.col("bad.d"), "; "))
+    return tracks.select(*keys).distinct().join(held, keys, "left").select(*keys, F.when(problem.isNull(), "ok").otherwise("error").alias("stage_status"), problem.alias("stage_error"))
 
 
 def stage_rates(stages: DataFrame, processed: str = "processed", seconds: str = "elapsed") -> DataFrame:
@@ -213,6 +215,51 @@ def filled_rows(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.where(F.trim(column) != "").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def label_agreement(frames: DataFrame, keys: Keys, reference: str, estimate: str) -> DataFrame:
+    """Pairwise precision, recall and F of two labellings of the same frames, and over- and under-segmentation scores.
+
+    Frames are counted per pair of labels first, so nothing larger than that table is
+    shuffled. Scores are 0 where no two frames share a label, segmentation scores also
+    where there is but one label; frames without either label are left out.
+    """
+    cells = frames.where(F.col(reference).isNotNull() & F.col(estimate).isNotNull()).groupBy(*keys, reference, estimate).agg(F.count(F.lit(1)).alias("__n"))
+    of = lambda label: Window.partitionBy(*keys, label)
+    cells = cells.withColumns({"__r": F.sum("__n").over(of(reference)), "__e": F.sum("__n").over(of(estimate))})
+    pairs = lambda n: n * (n - 1) / 2
+    n, r, e = F.col("__n"), F.col("__r"), F.col("__e")
+    sums = cells.groupBy(*keys).agg(
+        F.sum(pairs(n)).alias("__both"),
+        F.sum(n / r * pairs(r)).alias("__ref"),
+        F.sum(n / e * pairs(e)).alias("__est"),
+        F.sum(n).alias("__all"),
+        F.sum(-n * F.log2(n / r)).alias("__est_open"),
+        F.sum(-n * F.log2(n / e)).alias("__ref_open"),
+        F.log2(F.count_distinct(reference)).alias("__ref_most"),
+        F.log2(F.count_distinct(estimate)).alias("__est_most"),
+    )
+    share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
+    closed = lambda left, most: F.when(most > 0, 1 - left / F.col("__all") / most).otherwise(F.lit(0.0))
+    out = sums.select(
+        *keys,
+        share(F.col("__both"), F.col("__est")).alias("precision"),
+        share(F.col("__both"), F.col("__ref")).alias("recall"),
+        closed(F.col("__est_open"), F.col("__est_most")).alias("over_segmentation"),
+        closed(F.col("__ref_open"), F.col("__ref_most")).alias("under_segmentation"),
+    )
+    total = F.col("precision") + F.col("recall")
+    return out.withColumn("f_measure", share(2 * F.col("precision") * F.col("recall"), total))
+
+
+def block_cohesion(frames: DataFrame, keys: Keys, block: str, vector: str) -> DataFrame:
+    """Mean cosine over all pairs of frames of a block, each with itself too.
+
+    It is the squared length of the mean of the unit vectors, so no pair is ever made.
+    """
+    one = frames.select(*keys, block, F.posexplode(unit(vector)).alias("__at", "__x"))
+    mean = one.groupBy(*keys, block, "__at").agg(F.avg("__x").alias("__m"))
+    return mean.groupBy(*keys, block).agg(F.sum(F.col("__m") * F.col("__m")).alias("cohesion"))
+
+
 def hit_rates(matched_reference: DataFrame, matched_estimate: DataFrame, hit: Column) -> DataFrame:
     """Precision, recall and F of boundaries, from each side's nearest-neighbour join."""
     recall = matched_reference.agg(F.avg(hit.cast("double")).alias("recall"))

@@ -151,13 +151,22 @@ def snapped(value: Column, near: Column) -> Column:
     return F.coalesce(near, value)
 
 
-def overlap_argmax(intervals: DataFrame, sources: DataFrame, keys: Keys, unique: Keys) -> DataFrame:
+def overlap_argmax(intervals: DataFrame, sources: DataFrame, keys: Keys, unique: Keys, width: float) -> DataFrame:
     """Each interval's source: those that hold its midpoint, else all of its key; largest overlap, then earliest.
 
     ``intervals``: start, end; ``sources``: raw_start, raw_end and more. Keys without sources give none.
+    Time is cut into buckets of ``width`` (about the length of an interval), so only
+    neighbours meet; a key's earliest source stands by for intervals that meet none.
     """
+    if width <= 0:
+        raise ValueError("width must be positive")
     own = [c for c in sources.columns if c not in keys]
-    pairs = intervals.join(sources.select(*keys, *(F.col(c).alias(f"__{c}") for c in own)), keys)
+    cells = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / width), F.greatest(F.floor(F.col(a) / width), F.floor(F.col(b) / width))))
+    held = sources.select(*keys, *(F.col(c).alias(f"__{c}") for c in own))
+    near = intervals.withColumn("__cell", cells("start", "end")).join(held.withColumn("__cell", cells("__raw_start", "__raw_end")), [*keys, "__cell"]).drop("__cell")
+    whole = F.struct(*(F.col(f"__{c}") for c in own))
+    earliest = held.groupBy(*keys).agg(F.min_by(whole, F.struct("__raw_start", "__raw_end")).alias("__first")).select(*keys, "__first.*")
+    pairs = near.unionByName(intervals.join(earliest, keys))
     middle = (F.col("start") + F.col("end")) / 2
     holds = ((F.col("__raw_start") <= middle) & (middle < F.col("__raw_end"))).cast("int")
     shared = F.greatest(F.lit(0.0), F.least("end", "__raw_end") - F.greatest("start", "__raw_start"))

@@ -36,6 +36,17 @@ def change_points(df: DataFrame, keys: Keys, order: Keys, value: str) -> DataFra
     return marked.where((F.col("__n") == 1) | ~F.col(value).eqNullSafe(F.col("__before"))).drop("__n", "__before")
 
 
+def label_set_changes(frames: DataFrame, keys: Keys, index: str, label: str, probability: str, threshold: float, hop: float, duration: str) -> DataFrame:
+    """(keys, index, time, active): frames whose set of labels at or over ``threshold`` differs from the frame before; the first always.
+
+    ``frames`` has a row per frame and label, and the track's ``duration`` on each.
+    """
+    on = F.when(F.col(probability) >= threshold, F.col(label))
+    sets = frames.groupBy(*keys, index).agg(F.array_sort(F.collect_set(on)).alias("active"), F.max(duration).alias("__duration"))
+    first = change_points(sets, keys, [index], "active")
+    return first.select(*keys, index, F.round(F.least("__duration", F.col(index) * hop), 6).alias("time"), "active")
+
+
 def with_runs(df: DataFrame, keys: Keys, order: Keys, value: str, name: str = "run") -> DataFrame:
     """Number runs of equal values, from 1."""
     w = over(keys, order)

@@ -15,6 +15,7 @@ VIDEO_EXTENSIONS = ["3gp", "avi", "flv", "m2ts", "m4v", "mkv", "mov", "mp4", "mt
 PROTECTED_LABELS = ["intro", "outro", "bridge", "prechorus", "pre-chorus", "postchorus", "post-chorus", "interlude", "break", "breakdown", "coda", "solo"]
 INSTRUMENTAL_LABELS = ["inst", "instrumental", "solo", "gtrbreak", "guitarsolo", "no-vocal-intro", "no-vocal-interlude", "no-vocal-outro"]
 BAD_ASR_STATUS = ["not_run", "error", "decode_error", "asr_error", "alignment_error"]
+FAILED_ASR_STATUS = ["decode_error", "asr_error", "alignment_error"]
 UNSPACED_LANGUAGES = ["chinese", "cantonese", "japanese"]
 REMOVED_SECTION_FIELDS = ["key", "key_status", "key_error", "short_caption", "caption_status", "caption_error"]
 REMOVED_STAGES = ["section_key", "section_caption"]

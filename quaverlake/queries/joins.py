@@ -142,7 +142,7 @@ def overlap_argmax(spark: SparkSession, d: str) -> DataFrame:
     s = runs(spark, d).select("user_id", "label", "raw_start", "raw_end")
     i = s.select("user_id").distinct().select("user_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(5).cast("long"))).alias("k"))
     i = i.withColumns({"start": F.col("k") * 432000.0, "end": (F.col("k") + 1) * 432000.0})
-    return J.overlap_argmax(i, s, ["user_id"], ["k"]).select("user_id", "k", "label", F.round("raw_start", 3).alias("raw_start"))
+    return J.overlap_argmax(i, s, ["user_id"], ["k"], 432000.0).select("user_id", "k", "label", F.round("raw_start", 3).alias("raw_start"))
 
 
 @query(

@@ -235,13 +235,29 @@ def segment_labels(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     """WITH t AS (SELECT conv_id, turn, CASE WHEN turn % 5 = 3 THEN 'asr_error' WHEN role = 'user' THEN 'ok' ELSE 'no_lyrics_detected' END AS asr_status FROM conversations)
-SELECT conv_id, CASE WHEN count(*) FILTER (WHERE asr_status = 'asr_error') > 0 THEN 'error' ELSE 'ok' END AS stage_status, string_agg(lpad(turn::VARCHAR, 4, '0') || ':asr_error:', '; ' ORDER BY turn) FILTER (WHERE asr_status = 'asr_error') AS stage_error FROM t GROUP BY 1"""
+SELECT conv_id, CASE WHEN count(*) FILTER (WHERE asr_status = 'asr_error') > 0 THEN 'error' ELSE 'ok' END AS stage_status, string_agg(lpad(turn::VARCHAR, 4, '0') || ': asr_error', '; ' ORDER BY turn) FILTER (WHERE asr_status = 'asr_error') AS stage_error FROM t WHERE conv_id % 7 <> 0 GROUP BY 1
+UNION ALL SELECT DISTINCT conv_id, 'error', 'input contains no sections' FROM t WHERE conv_id % 7 = 0"""
 )
 def asr_roll_up(spark: SparkSession, d: str) -> DataFrame:
+    """Every seventh conversation stands for a track without sections."""
     c = table(spark, d, "conversations").select("conv_id", "turn", "role")
     status = F.when(F.col("turn") % 5 == 3, "asr_error").when(F.col("role") == "user", "ok").otherwise("no_lyrics_detected")
     none = F.lit(None).cast("string")
-    return A.asr_roll_up(c.withColumns({"asr_status": status, "section_id": F.lpad(F.col("turn").cast("string"), 4, "0"), "asr_error": none, "alignment_error": none}), ["conv_id"], ["turn"])
+    sections = c.where("conv_id % 7 <> 0").withColumns({"asr_status": status, "section_id": F.lpad(F.col("turn").cast("string"), 4, "0"), "asr_error": none, "alignment_error": none})
+    return A.asr_roll_up(c, sections, ["conv_id"], ["turn"])
+
+
+@query(
+    """WITH c AS (SELECT user_id, event_type AS r, event_id % 3 AS e, count(*)::DOUBLE AS n FROM events GROUP BY 1, 2, 3), t AS (SELECT *, sum(n) OVER (PARTITION BY user_id, r) AS nr, sum(n) OVER (PARTITION BY user_id, e) AS ne FROM c),
+r AS (SELECT user_id, sum(nr * (nr - 1) / 2) AS pr, count(*) AS kr FROM (SELECT DISTINCT user_id, r, nr FROM t) GROUP BY 1), e AS (SELECT user_id, sum(ne * (ne - 1) / 2) AS pe, count(*) AS ke FROM (SELECT DISTINCT user_id, e, ne FROM t) GROUP BY 1),
+b AS (SELECT user_id, sum(n * (n - 1) / 2) AS pb, sum(n) AS total, -sum(n * log2(n / nr)) AS he, -sum(n * log2(n / ne)) AS hr FROM t GROUP BY 1),
+s AS (SELECT user_id, CASE WHEN pe > 0 THEN pb / pe ELSE 0 END AS p, CASE WHEN pr > 0 THEN pb / pr ELSE 0 END AS q, CASE WHEN ke > 1 THEN 1 - he / total / log2(ke) ELSE 0 END AS o, CASE WHEN kr > 1 THEN 1 - hr / total / log2(kr) ELSE 0 END AS u FROM b JOIN r USING (user_id) JOIN e USING (user_id))
+SELECT user_id, round(p + 1e-9, 4) AS precision, round(q + 1e-9, 4) AS recall, round(CASE WHEN p + q > 0 THEN 2 * p * q / (p + q) ELSE 0 END + 1e-9, 4) AS f_measure, round(o + 1e-9, 4) AS over_segmentation, round(u + 1e-9, 4) AS under_segmentation FROM s"""
+)
+def label_agreement(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").select("user_id", "event_type", (F.col("event_id") % 3).alias("other"))
+    out = A.label_agreement(e, ["user_id"], "event_type", "other")
+    return out.select("user_id", *(F.round(F.col(c) + 1e-9, 4).alias(c) for c in ("precision", "recall", "f_measure", "over_segmentation", "under_segmentation")))
 
 
 @query("SELECT conv_id, nullif(string_agg(CASE WHEN role = 'user' THEN text END, chr(10) ORDER BY turn), '') AS full_transcript FROM conversations GROUP BY 1")

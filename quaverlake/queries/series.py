@@ -9,7 +9,7 @@ from quaverlake.operators import aggregates as A
 from quaverlake.operators import joins as J
 from quaverlake.operators import sequences as S
 from quaverlake.operators import structure as I
-from quaverlake.queries.registry import FRAMES, RUNS, frames, query, runs, table
+from quaverlake.queries.registry import FRAMES, ORACLE_SQL, RUNS, frames, query, runs, table
 
 _CLICKS = "purchase"
 
@@ -26,6 +26,19 @@ def change_points(spark: SparkSession, d: str) -> DataFrame:
     return out.select("user_id", "event_id", "event_type", F.round("t", 3).alias("t"))
 
 
+@query(
+    "WITH "
+    + FRAMES
+    + """, g AS (SELECT user_id, floor(t / 86400)::BIGINT AS i, coalesce(list_sort(list(DISTINCT event_type) FILTER (WHERE p >= 0.3)), []) AS active FROM f GROUP BY 1, 2), c AS (SELECT *, lag(active) OVER w AS b, row_number() OVER w AS rn FROM g WINDOW w AS (PARTITION BY user_id ORDER BY i))
+SELECT user_id, i, round(least(12.25, i * 0.5), 6)::DOUBLE AS time, array_to_string(active, ',') AS active FROM c WHERE rn = 1 OR b IS DISTINCT FROM active"""
+)
+def label_set_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Days stand for frames, event types for labels."""
+    f = frames(spark, d).select("user_id", F.floor(F.col("t") / 86400).alias("i"), "event_type", "p", F.lit(12.25).alias("duration"))
+    out = S.label_set_changes(f, ["user_id"], "i", "event_type", "p", 0.3, 0.5, "duration")
+    return out.select("user_id", "i", "time", F.array_join("active", ",").alias("active"))
+
+
 @query(
     "WITH "
     + RUNS
@@ -202,7 +215,7 @@ def self_similarity(spark: SparkSession, d: str) -> DataFrame:
     + """, n AS (SELECT label, max(i) + 1 AS n FROM m GROUP BY 1), r AS (SELECT label, c * 5 AS i0, least(n, c * 5 + 5) AS i1 FROM n, LATERAL (SELECT unnest(range(((n + 4) // 5)::BIGINT)) AS c))
 SELECT r.label, i0, round(avg(value), 4) AS cohesion FROM r JOIN m ON m.label = r.label AND i >= i0 AND i < i1 AND j >= i0 AND j < i1 GROUP BY 1, 2"""
 )
-def cohesion(spark: SparkSession, d: str) -> DataFrame:
+def rectangle_means(spark: SparkSession, d: str) -> DataFrame:
     """Rectangle means over the self-similarity matrix by prefix sums."""
     m = _ssm(spark, d)
     totals = S.prefix_sums_2d(m, ["label"])
@@ -212,6 +225,15 @@ def cohesion(spark: SparkSession, d: str) -> DataFrame:
     return S.rectangle_means(totals, r, ["label"]).select("label", "i0", F.round("mean", 4).alias("cohesion"))
 
 
+@query(ORACLE_SQL["rectangle_means"])
+def cohesion(spark: SparkSession, d: str) -> DataFrame:
+    """The same means of sections with themselves from sums of unit vectors."""
+    e = table(spark, d, "embeddings")
+    k = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
+    out = A.block_cohesion(e.select("label", (k - k % 5).cast("long").alias("i0"), "embedding"), ["label"], "i0", "embedding")
+    return out.select("label", "i0", F.round("cohesion", 4).alias("cohesion"))
+
+
 @query(
     """WITH m AS (SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings, range(1, 65) r(i) GROUP BY 1, 2), n AS (SELECT label, list(m ORDER BY i) AS v FROM m GROUP BY 1),
 p AS (SELECT a.label AS item, b.label AS other, a.label // 3 = b.label // 3 AS same, greatest(-1, least(1, list_cosine_similarity(a.v, b.v))) AS s FROM n a JOIN n b ON a.label <> b.label),

@@ -41,11 +41,37 @@ def manifest_hash(spark: SparkSession, d: str) -> DataFrame:
     return A.manifest_hash(docs, ["lang"], hashing.fingerprint({"doc_id": F.col("doc_id"), "source": F.col("source")}))
 
 
-@query("""SELECT l_orderkey, sha256(string_agg(lpad(l_linenumber::VARCHAR, 4, '0') || '|' || printf('%.6f', l_quantity) || '|' || printf('%.6f', l_quantity + 10) || '|' || l_returnflag || '|' || printf('%.6f', l_discount), chr(10) ORDER BY l_linenumber, l_quantity, l_returnflag, l_discount)) AS sections_hash FROM lineitem GROUP BY 1""")
+@query(
+    """SELECT l_orderkey, sha256('{"audio_id":"' || l_orderkey || '","content_type":"song","sections":[' || string_agg('{"end":' || (l_quantity + 10)::DOUBLE || ',"label":"' || l_returnflag || '","section_id":"' || lpad(l_linenumber::VARCHAR, 4, '0') || '","start":' || l_quantity::DOUBLE || ',"voice_coverage":' || l_discount::DOUBLE || '}', ',' ORDER BY l_linenumber, l_quantity, l_returnflag, l_discount) || ']}') AS sections_hash FROM lineitem GROUP BY l_orderkey"""
+)
 def sections_hash(spark: SparkSession, d: str) -> DataFrame:
     section = F.struct(F.col("l_linenumber").alias("n"), F.lpad(F.col("l_linenumber").cast("string"), 4, "0").alias("section_id"), F.col("l_quantity").alias("start"), (F.col("l_quantity") + 10).alias("end"), F.col("l_returnflag").alias("label"), F.col("l_discount").alias("voice_coverage"))
     held = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(section)).alias("s"))
-    return held.select("l_orderkey", hashing.sections_hash("s").alias("sections_hash"))
+    return held.select("l_orderkey", hashing.sections_hash(F.col("l_orderkey"), F.lit("song"), "s").alias("sections_hash"))
+
+
+@query(
+    """SELECT o_orderkey, sha256('{"audio_id":"' || o_orderkey || '","audio_path":"a/' || o_orderkey || '","content_type":"' || o_orderstatus || '","duration":' || o_totalprice::DOUBLE || ',"source_relpath":null,"stage":"structure_raw"}') AS semantic,
+sha256('{"record":{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"},"stage":"music_gate"}') AS whole FROM orders"""
+)
+def record_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders")
+    key = F.col("o_orderkey")
+    semantic = hashing.input_fingerprint("structure_raw", key, F.concat(F.lit("a/"), key.cast("string")), F.lit(None).cast("string"), F.col("o_totalprice"), F.col("o_orderstatus"))
+    whole = hashing.record_fingerprint("music_gate", {"o_orderkey": key, "o_orderstatus": F.col("o_orderstatus"), "o_totalprice": F.col("o_totalprice")}, ("o_totalprice",))
+    return o.select("o_orderkey", semantic.alias("semantic"), whole.alias("whole"))
+
+
+@query(
+    """SELECT doc_id, 'audio_bytes=x;duration=' || coalesce(n_chars::VARCHAR, 'null') || ';path=' || coalesce(source, 'null') || ';subset_name=' || CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'null' END AS known, 'lang=' || coalesce(lang, 'null') AS extra,
+concat_ws(';', 'duration=' || n_chars, 'lang=' || coalesce(lang, 'null'), 'path=' || source, CASE WHEN doc_id % 2 = 0 THEN 'subset_name=even' END) AS fields FROM documents"""
+)
+def known_fields(spark: SparkSession, d: str) -> DataFrame:
+    fields = {"path": F.col("source"), "duration": F.col("n_chars").cast("string"), "lang": F.col("lang"), "audio_bytes": F.lit("x"), "subset_name": F.when(F.col("doc_id") % 2 == 0, "even")}
+    docs = table(spark, d, "documents").select("doc_id", F.create_map(*(c for k, v in fields.items() for c in (F.lit(k), v))).alias("m"))
+    known, extra = routing.split_known("m", ["path", "duration", "audio_bytes", "subset_name"])
+    shown = lambda m: F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null"))))), ";")
+    return docs.select("doc_id", shown(known).alias("known"), shown(extra).alias("extra"), shown(routing.joined_fields(known, extra)).alias("fields"))
 
 
 _PATH = "regexp_extract(url, '://[^/]*(/[^?#]*)', 1)"
@@ -115,6 +141,21 @@ def downbeats(spark: SparkSession, d: str) -> DataFrame:
     return held.select("user_id", F.nullif(F.array_join(F.array_sort(names), ","), F.lit("")).alias("beats"))
 
 
+@query(
+    """SELECT user_id, string_agg(DISTINCT v::VARCHAR, ',' ORDER BY v::VARCHAR) FILTER (WHERE event_type = 'purchase') AS beats
+FROM (SELECT user_id, event_type, event_id % CASE user_id % 3 WHEN 0 THEN 50 WHEN 1 THEN 30 ELSE 20 END AS v FROM events) GROUP BY 1"""
+)
+def downbeat_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Of three sources of beats, the first as pairs, the first that holds any counts."""
+    number = F.when(F.col("event_type") == "purchase", 1.0).otherwise(2.0)
+    at = lambda n: (F.col("event_id") % n).cast("double")
+    beat = lambda n: F.struct(at(n).alias("timestamp"), number.alias("beat"))
+    pairs = F.when(F.col("user_id") % 3 == 0, F.array(at(50), number))
+    held = table(spark, d, "events").groupBy("user_id").agg(F.collect_list(pairs).alias("a"), F.collect_list(F.when(F.col("user_id") % 3 == 1, beat(30))).alias("b"), F.collect_list(beat(20)).alias("c"))
+    names = F.transform(routing.downbeats(routing.first_filled(routing.paired_beats("a"), "b", "c")), lambda x: x.cast("long").cast("string"))
+    return held.select("user_id", F.nullif(F.array_join(F.array_sort(names), ","), F.lit("")).alias("beats"))
+
+
 @query("SELECT user_id, count(*) FILTER (WHERE event_type <> 'error') AS chords FROM events GROUP BY 1")
 def real_chords(spark: SparkSession, d: str) -> DataFrame:
     chord = F.struct(F.when(F.col("event_type") == "error", "N").otherwise(F.col("event_type")).alias("chord"), F.col("event_id").alias("timestamp"))

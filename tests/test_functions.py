@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,3 +112,19 @@ def test_typed_overrides():
 def test_alphabet(spark):
     r = one(spark, *(S.alphabet_label(F.lit(i)) for i in (0, 25, 26, 51, 52, 701, 702)))
     assert list(r) == ["A", "Z", "AA", "AZ", "BA", "ZZ", "AAA"]
+
+
+def test_canonical_json_against_the_standard_library(spark):
+    numbers = [0.0, -0.0, 1.0, 0.1, 12.5, 0.0001, 0.00012345, 1e-5, 1.25e-7, -3.5e-9, 1e7, 12345678.25, -1e7, 1.5e15, 123456789012345.6, 1e16, 1.25e22, 1e100, 2e23, 2.0e-3, 0.001, 9999999.5, 1e-300, 2.0**53, None]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(numbers)], "i long, v double")
+    for r in rows.select("v", hashing.json_float("v").alias("s")).collect():
+        assert r["s"] == (None if r["v"] is None else json.dumps(r["v"])), r
+    sections = [("0001", 1 / 3, 20.1234567, "verse", 0.25), ("0002", 20.1234567, None, None, None)]
+    for name, part in (("a\"b", sections), (None, [])):
+        df = spark.createDataFrame([(name, part)], "k string, s array<struct<section_id:string,start:double,end:double,label:string,voice_coverage:double>>")
+        fields = ("section_id", "start", "end", "label", "voice_coverage")
+        plan = [dict(zip(fields, x, strict=True)) for x in part]
+        for x in plan:
+            x["start"], x["end"] = round(x["start"] or 0.0, 6), round(x["end"] or 0.0, 6)
+        text = json.dumps({"audio_id": name or "", "content_type": "song", "sections": plan}, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+        assert df.select(hashing.sections_hash(F.col("k"), F.lit("song"), "s")).first()[0] == hashlib.sha256(text.encode()).hexdigest()
