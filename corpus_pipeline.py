@@ -15,6 +15,16 @@ from quaverlake.llm.substring_dedup import substring_dedup
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: a prediction less sure than an even guess among the learned languages by this much is a rejection
 MARGIN = 0.05
+#: rows of an Arrow batch at most: with whole texts in them, batches of 10,000 rows take some 250 MB more of an executor
+BATCH_ROWS = 1000
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS; results do not depend on them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,6 +35,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ids are judged each; texts may be of any length; an empty table stays empty; all
     columns but those of ``documents`` are left out.
     """
+    _bound_batches(spark)
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
     model = train(docs.where(~held_out))
     if not model.languages:
@@ -41,6 +52,7 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     class; unlike texts stay, whatever ids they share; texts may be of any length; an
     empty table stays empty; all columns but those of ``documents`` are left out.
     """
+    _bound_batches(spark)
     return keep_one(near_duplicates(docs)).select(*COLUMNS)
 
 
@@ -52,6 +64,7 @@ def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     repeats. Ids may be null or repeat; texts may be of any length; an empty table stays
     empty; all columns but those of ``documents`` are left out.
     """
+    _bound_batches(spark)
     cut = substring_dedup(docs)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     cut = cut.where("n_removed < n_words or n_removed = 0").withColumn("text", text)
@@ -76,6 +89,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     pieces of one length are interchangeable, ties go by id, piece and checksum; texts
     may be of any length; an empty table gives no pieces.
     """
+    _bound_batches(spark)
     return pack_documents(docs).select(F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset")
 
 
