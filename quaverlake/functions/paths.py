@@ -36,6 +36,12 @@ def relpath_from(path: Column | str, root: str) -> Column:
     return F.when(_col(path).startswith(base), F.substring(_col(path), len(base) + 1, 2**30))
 
 
+def require_relpath_from(path: Column | str, root: str) -> Column:
+    """Path below ``root``; a path outside it, or none, fails the job."""
+    shown = F.coalesce(_col(path), F.lit("null"))
+    return F.coalesce(relpath_from(path, root), F.raise_error(F.concat(F.lit("outside the input root: "), shown)).cast("string"))
+
+
 def _output_name(name: str | None) -> str | None:
     if name is None:
         return None

@@ -29,6 +29,21 @@ def seconds_per_item(n: Column | str, seconds: Column | str) -> Column:
     return F.when(_col(n) > 0, F.round(_col(seconds) / _col(n), 6))
 
 
+def stage_record(stage: Column | str, started: Column | str, finished: Column | str, processed: Column | str) -> Column:
+    """A stage's run as a struct: epochs and elapsed seconds to six places, items, both rates."""
+    begin, end, n = _col(started).cast("double"), _col(finished).cast("double"), _col(processed).cast("long")
+    took = F.greatest(end - begin, F.lit(0.0))
+    return F.struct(
+        _col(stage).cast("string").alias("stage"),
+        F.round(begin, 6).alias("started_at_epoch"),
+        F.round(end, 6).alias("finished_at_epoch"),
+        F.round(took, 6).alias("elapsed_seconds"),
+        F.greatest(n, F.lit(0)).alias("processed"),
+        seconds_per_item(n, took).alias("seconds_per_item"),
+        rate(n, took).alias("items_per_second"),
+    )
+
+
 def typed(current: Any, value: str) -> Any:
     """A configuration override read as the type of what it replaces."""
     if isinstance(current, bool):

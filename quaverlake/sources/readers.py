@@ -58,8 +58,39 @@ def inventory(media: DataFrame, probe: Callable[[str], float | None] | None = No
 
 
 def read_jsonl(spark: SparkSession, paths: str | list[str], schema: StructType | str) -> DataFrame:
-    """Strict JSON lines: blank lines are skipped, any line that is no object of the schema fails the job."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").option("recursiveFileLookup", True).json(paths)
+    """Strict JSON lines: blank lines are skipped, any line that is no object of the schema fails the job.
+
+    Lines that are arrays or plain values fail too, where Spark's own JSON source would
+    take an array of objects for several rows. Files are split as any text.
+    """
+    ddl = schema if isinstance(schema, str) else schema.simpleString()
+    lines = spark.read.option("recursiveFileLookup", True).text(paths).where(r"value rlike '\\S'")
+    checked = F.when(F.col("value").rlike(r"^\s*\{"), F.col("value")).otherwise(F.raise_error(F.concat(F.lit("no JSON object: "), F.substring("value", 1, 80))).cast("string"))
+    return lines.where(checked.isNotNull()).select(F.from_json("value", ddl, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
+def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Every line of text files, blank ones too: file_path, line (its number in the file, from 0), value.
+
+    A split numbers its own lines; the lines of a file's earlier splits are counted in a
+    pass before, so large files are read by many tasks.
+    """
+    id_ = F.monotonically_increasing_id().alias("id")  # goes up by one within a split
+    rows = spark.read.option("recursiveFileLookup", True).text(paths).select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"), id_)
+    splits = rows.groupBy("file_path", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    line = (F.col("id") - F.col("first") + F.col("before")).alias("line")
+    return rows.join(splits, ["file_path", "block"]).select("file_path", line, "value")
+
+
+def read_items(spark: SparkSession, paths: str | list[str], schema: StructType, order: tuple[str, ...] = ("audio_path", "url", "path", "file")) -> DataFrame:
+    """Items of JSON lines with their physical line number: bad and blank lines are skipped but counted."""
+    full = StructType(list(schema.fields)).add("_corrupt_record", "string")
+    lines = numbered_lines(spark, paths).where(F.col("value").rlike(r"^\s*\{"))
+    rows = lines.select("file_path", "line", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
+    good = rows.where(F.col("r").isNotNull() & F.col("r._corrupt_record").isNull()).select("file_path", "line", "r.*").drop("_corrupt_record")
+    return item_rows(good, order)
 
 
 def read_jsonl_lenient(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
@@ -148,6 +179,14 @@ def shard_paths(root: str, n: int = 256) -> list[str]:
     return [f"{root.rstrip('/')}/segment_{i:02x}" for i in range(n)]
 
 
+def shard_files(spark: SparkSession, root: str, pattern: str = "segment*.jsonl") -> list[str]:
+    """Shards that are there by name, sorted (driver-side listing of one folder through Hadoop)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{pattern}")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
 def rank_paths(paths: list[str], rank: int, world: int) -> list[str]:
     """A worker's contiguous block; low ranks take the remainder."""
     if not 0 <= rank < world:
@@ -157,7 +196,7 @@ def rank_paths(paths: list[str], rank: int, world: int) -> list[str]:
     return sorted(paths)[begin : begin + each + (rank < more)]
 
 
-READERS: dict[str, Callable[..., DataFrame]] = {"jsonl": read_jsonl, "jsonl_lenient": read_jsonl_lenient, "jsonl_recovering": read_jsonl_recovering, "columnar": columnar_rows, "media": scan_media}
+READERS: dict[str, Callable[..., DataFrame]] = {"jsonl": read_jsonl, "jsonl_lenient": read_jsonl_lenient, "jsonl_recovering": read_jsonl_recovering, "items": read_items, "columnar": columnar_rows, "media": scan_media}
 
 
 def reader(kind: str) -> Callable[..., DataFrame]:

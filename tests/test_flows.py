@@ -33,6 +33,39 @@ def test_strict_and_lenient(spark, tmp_path):
         readers.read_jsonl(spark, str(tmp_path), SCHEMA).collect()
 
 
+def test_strict_lines_are_objects(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text(' {"audio_id":"ok","v":1}\n\n \t\n{"audio_id":"x"}\n')
+    assert sorted(r["audio_id"] for r in readers.read_jsonl(spark, str(tmp_path / "a.jsonl"), SCHEMA).collect()) == ["ok", "x"]
+    for bad in ('[{"v":1},{"v":2}]', "7", "null"):
+        (tmp_path / "b.jsonl").write_text('{"audio_id":"ok","v":1}\n' + bad + "\n")
+        with pytest.raises(Exception, match="no JSON object"):
+            readers.read_jsonl(spark, str(tmp_path / "b.jsonl"), SCHEMA).collect()
+
+
+def test_items_keep_physical_lines(spark, tmp_path):
+    lines = {"a.jsonl": ['{"url":"u0"}', "", "broken", '{"path":"p3"}', '{"v":4}'], "b.jsonl": [f'{{"file":"f{i}"}}' if i % 3 else "" for i in range(400)]}
+    for name, body in lines.items():
+        (tmp_path / name).write_text("\n".join(body) + "\n")
+    schema = StructType().add("url", "string").add("path", "string").add("file", "string").add("v", "integer")
+    size = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(size)
+    spark.conf.set(size, "700")  # several splits a file
+    try:
+        got = sorted((r["file_path"].rsplit("/", 1)[1], r["line"], r["item_path"]) for r in readers.read_items(spark, str(tmp_path), schema).collect())
+        splits = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        spark.conf.set(size, old)
+    assert splits > 3
+    assert got == [("a.jsonl", 0, "u0"), ("a.jsonl", 3, "p3")] + [("b.jsonl", i, f"f{i}") for i in range(400) if i % 3]
+
+
+def test_shard_files(spark, tmp_path):
+    for name in ("segment_01.jsonl", "segment_00.jsonl", "other.jsonl", "segment_02.txt"):
+        (tmp_path / name).write_text("{}\n")
+    assert [p.rsplit("/", 1)[1] for p in readers.shard_files(spark, str(tmp_path))] == ["segment_00.jsonl", "segment_01.jsonl"]
+    assert readers.shard_files(spark, str(tmp_path / "none")) == []
+
+
 def test_media_scan_and_inventory(spark, tmp_path):
     for name, body in (("a/x.MP3", b"1"), ("b.wav", b"1"), ("c.txt", b"2"), ("d.mkv", b"3")):
         (tmp_path / name).parent.mkdir(exist_ok=True)

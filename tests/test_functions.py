@@ -128,3 +128,16 @@ def test_canonical_json_against_the_standard_library(spark):
             x["start"], x["end"] = round(x["start"] or 0.0, 6), round(x["end"] or 0.0, 6)
         text = json.dumps({"audio_id": name or "", "content_type": "song", "sections": plan}, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
         assert df.select(hashing.sections_hash(F.col("k"), F.lit("song"), "s")).first()[0] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_stage_record(spark):
+    rows = spark.createDataFrame([("a", 10.0, 14.0, 8), ("b", 5.0, 4.0, -1)], "s string, b double, e double, n long")
+    got = [tuple(r["r"]) for r in rows.select(values.stage_record("s", "b", "e", "n").alias("r")).collect()]
+    assert got == [("a", 10.0, 14.0, 4.0, 8, 0.5, 2.0), ("b", 5.0, 4.0, 0.0, 0, None, None)]
+
+
+def test_require_relpath_from(spark):
+    assert spark.range(1).select(paths.require_relpath_from(F.lit("/in/a/b.wav"), "/in/").alias("p")).first()["p"] == "a/b.wav"
+    for bad in (F.lit("/else/b.wav"), F.lit(None).cast("string")):
+        with pytest.raises(Exception, match="outside the input root"):
+            spark.range(1).select(paths.require_relpath_from(bad, "/in")).collect()
