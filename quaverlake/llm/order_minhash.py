@@ -142,23 +142,27 @@ def _banded(a: list[int], b: list[int], limit: int) -> int:
     return distance if distance <= limit else limit + 1
 
 
+def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both without what they begin and end with alike."""
+    common = min(len(a), len(b))
+    unlike = np.flatnonzero(a[:common] != b[:common])
+    head = int(unlike[0]) if len(unlike) else common
+    a, b = a[head:], b[head:]
+    common = min(len(a), len(b))
+    unlike = np.flatnonzero(a[len(a) - common :][::-1] != b[len(b) - common :][::-1])
+    tail = int(unlike[0]) if len(unlike) else common
+    return a[: len(a) - tail], b[: len(b) - tail]
+
+
 def edits_within(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     """Word edit distance of two token arrays if at most ``limit``, else limit + 1.
 
     What they begin and end with alike is set aside; then a bound from shared
     trigrams (an edit destroys three at most), then banded alignment.
     """
-    n, m = len(a), len(b)
-    if abs(n - m) > limit:
+    if abs(len(a) - len(b)) > limit:
         return limit + 1
-    common = min(n, m)
-    unlike = np.flatnonzero(a[:common] != b[:common])
-    head = int(unlike[0]) if len(unlike) else common
-    a, b = a[head:], b[head:]
-    common = min(len(a), len(b))
-    unlike = np.flatnonzero(a[len(a) - common :][::-1] != b[len(b) - common :][::-1])
-    tail = int(unlike[0]) if len(unlike) else common
-    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    a, b = _trimmed(a, b)
     n, m = len(a), len(b)
     if not n or not m:
         return max(n, m) if max(n, m) <= limit else limit + 1
@@ -179,16 +183,96 @@ def _whole(a: np.ndarray, b: np.ndarray) -> int:
     return _banded(a.tolist(), b.tolist(), len(a))
 
 
+def _aligned(pairs: list[tuple[np.ndarray, np.ndarray]], limit: int) -> np.ndarray:
+    """Edit distance of each pair where it is at most ``limit``, else more; a cell of the table is a row over all pairs.
+
+    Tables are filled by antidiagonals, i words of the first text and d - i of the
+    second, within the band of ``limit`` diagonals either way. Padding lies behind a
+    pair's last cell and never reaches it.
+    """
+    sizes = np.array([(len(a), len(b)) for a, b in pairs])
+    n, m = sizes.max(axis=0).tolist()
+    first, second = np.zeros((n, len(pairs)), np.uint32), np.zeros((m, len(pairs)), np.uint32)
+    for p, (a, b) in enumerate(pairs):
+        first[: len(a), p] = a
+        second[m - len(b) :, p] = b[::-1]
+    ends = sizes.sum(axis=1)
+    by_end = np.argsort(ends, kind="stable")
+    met, out = 0, np.empty(len(pairs), dtype=np.int64)
+    # row i + 1 is i words; the rows beside the band are out of reach
+    older, old, new = (np.full((n + 3, len(pairs)), _FAR, dtype=np.int16) for _ in range(3))
+    old[1] = 0
+    unlike, beside = np.empty(first.shape, dtype=bool), np.empty(first.shape, dtype=np.int16)
+    for d in range(1, int(ends.max()) + 1):
+        low, high = max(0, d - m, (d - limit + 1) // 2), min(n, d, (d + limit) // 2)
+        x, y = max(low, 1), min(high, d - 1)
+        if x <= y:
+            differ, step, cell = unlike[: y - x + 1], beside[: y - x + 1], new[x + 1 : y + 2]
+            np.not_equal(first[x - 1 : y], second[m - d + x : m - d + y + 1], out=differ)
+            np.add(older[x : y + 1], differ, out=cell)
+            np.minimum(old[x : y + 1], old[x + 1 : y + 2], out=step)
+            step += 1
+            np.minimum(cell, step, out=cell)
+        if low == 0:
+            new[1] = d
+        if high == d:
+            new[d + 1] = d
+        new[low] = new[high + 2] = _FAR
+        while met < len(pairs) and ends[by_end[met]] == d:
+            out[by_end[met]] = new[sizes[by_end[met], 0] + 1, by_end[met]]
+            met += 1
+        older, old, new = old, new, older
+    return out
+
+
+#: beyond any distance of texts aligned together, and how many cells their bands may have
+_FAR, _CELLS = 32_000, 2_000_000
+
+
+def alike(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> np.ndarray:
+    """Which pairs of token arrays are within the edits that ``similarity`` allows the longer.
+
+    Pairs of like size are aligned together, so that a pair takes a few dozen
+    microseconds; single ones and those with large bands are aligned by bit vectors.
+    """
+    near = np.zeros(len(pairs), dtype=bool)
+    rest = []
+    for p, (a, b) in enumerate(pairs):
+        limit = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
+        if abs(len(a) - len(b)) > limit:
+            continue
+        a, b = _trimmed(a, b)
+        n, m = len(a), len(b)
+        if max(n, m) <= limit or not min(n, m):
+            near[p] = max(n, m) <= limit
+        elif n + m < _FAR and n * min(m, 2 * limit + 1) <= _CELLS:
+            rest.append((n + m, p, a, b, limit))
+        else:
+            near[p] = edits_within(a, b, limit) <= limit
+    rest.sort(key=lambda r: r[:2])
+    at = 0
+    while at < len(rest):
+        most = rest[at][0] + rest[at][0] // 4 + 8
+        end = min(len(rest), at + max(32, 65_536 // most))
+        while rest[end - 1][0] > most:
+            end -= 1
+        some = rest[at:end]
+        if len(some) < 16:
+            for _, p, a, b, limit in some:
+                near[p] = edits_within(a, b, limit) <= limit
+        else:
+            found = _aligned([(a, b) for _, _, a, b, _ in some], max(r[4] for r in some))
+            near[[r[1] for r in some]] = found <= np.array([r[4] for r in some])
+        at = end
+    return near
+
+
 def _verify(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            alike = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                a, b = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-                longest = max(len(a), len(b))
-                limit = int(longest * (1 - similarity) + 1e-9)
-                alike.append(edits_within(a, b, limit) <= limit)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(alike, pa.bool_())], names=["tk", "lead", "alike"])
+            sides = ([np.frombuffer(x, np.uint32) for x in batch.column(c).to_pylist()] for c in (2, 3))
+            found = alike(list(zip(*sides, strict=True)), similarity)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.bool_())], names=["tk", "lead", "alike"])
 
     return run
 
@@ -244,6 +328,12 @@ def hopeful(left: list[np.ndarray], right: list[np.ndarray] | None, similarity:
                 yield int(order[0][x + i]), int(order[1][y + j])
 
 
+def _turns(key: bytes, buckets: list[int]) -> list[int]:
+    """A text's buckets in an order of its own."""
+    salt = int.from_bytes(key[:8])
+    return sorted(buckets, key=lambda b: (b ^ salt) * 0x9E3779B97F4A7C15 % 2**64)
+
+
 def _judge(similarity: float):
     """Links between unconnected members of the two blocks (or within the one) of each group."""
 
@@ -262,17 +352,32 @@ def _judge(similarity: float):
                 return root
 
             shared = [[set(r[3]) for r in side] for side in (left, right)]
+            turns = [[_turns(r[1], r[3]) for r in side] for side in (left, right)]
             tokens = [[np.frombuffer(r[4], np.uint32) for r in side] for side in (left, right)]
-            found = []
+            found, waiting = [], []
+
+            def align() -> None:
+                near = alike([(tokens[0][x], tokens[1][y]) for x, y in waiting], similarity)
+                for k in np.flatnonzero(near).tolist():
+                    x, y = waiting[k]
+                    a, b = top(left[x][2]), top(right[y][2])
+                    if a != b:
+                        above[a] = b
+                        found.append((left[x][1], right[y][1]))
+                waiting.clear()
+
             for x, y in hopeful(tokens[0], None if i == j else tokens[1], similarity):
-                a, b = top(left[x][2]), top(right[y][2])
-                # pairs that meet in several buckets are judged in the first
-                if a == b or min(shared[0][x] & shared[1][y]) != bucket:
+                if top(left[x][2]) == top(right[y][2]):
+                    continue
+                # pairs that meet in several buckets are judged in one: the first shared one in turn of the lesser key
+                turn, other = (turns[0][x], shared[1][y]) if left[x][1] < right[y][1] else (turns[1][y], shared[0][x])
+                if next(b for b in turn if b in other) != bucket:
                     continue
-                limit = int(max(len(tokens[0][x]), len(tokens[1][y])) * (1 - similarity) + 1e-9)
-                if edits_within(tokens[0][x], tokens[1][y], limit) <= limit:
-                    above[a] = b
-                    found.append((left[x][1], right[y][1]))
+                waiting.append((x, y))
+                if len(waiting) == 512:
+                    align()
+            if waiting:
+                align()
             if not found:
                 return None
             return pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*found, strict=True)], names=["a", "b"])

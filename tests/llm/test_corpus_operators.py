@@ -546,6 +546,48 @@ def test_hopeful_keeps_every_near_pair():
         assert across >= {(i, j - 30) for i in range(30) for j in range(30, len(made)) if near(made[i], made[j])}
 
 
+def test_pairs_aligned_together():
+    """Near and far pairs of all sizes, few and many words, against the table of edit distances."""
+    rng, pairs = np.random.default_rng(8), []
+    for _ in range(600):
+        a = rng.integers(0, rng.choice([2, 6, 60]), int(rng.integers(0, 70)))
+        b = a.tolist()
+        for _ in range(int(rng.integers(0, 16))):
+            at, kind = int(rng.integers(0, len(b) + 1)), rng.integers(3)
+            b[at : at + (kind > 0)] = [int(rng.integers(0, 60))] * int(kind < 2)
+        pairs.append((a.astype(np.uint32), np.array(b if rng.random() < 0.8 else rng.integers(0, 3, 40), dtype=np.uint32)))
+    for similarity in (0.8, 0.5, 0.0):
+        want = [brute_edits(a.tolist(), b.tolist()) <= int(max(len(a), len(b)) * (1 - similarity) + 1e-9) for a, b in pairs]
+        assert order_minhash.alike(pairs, similarity).tolist() == want
+    assert order_minhash.alike([], 0.8).tolist() == []
+
+
+def test_judging_is_spread_over_the_shared_buckets(monkeypatch):
+    """Texts that meet in eight buckets: every pair is aligned once, and no bucket has a third of the pairs."""
+    rng, passage, rows, judged = np.random.default_rng(3), np.arange(100, dtype=np.uint32), [], {}
+    buckets = [int(b) for b in rng.integers(-(2**62), 2**62, 8)]
+    for i in range(60):
+        tokens = np.concatenate([np.arange(1000 * i + 1000, 1000 * i + 1026, dtype=np.uint32), passage])
+        rows.append((rng.bytes(16), tokens.tobytes()))
+    rows.append((rng.bytes(16), np.append(np.frombuffer(rows[0][1], np.uint32), np.uint32(7)).tobytes()))
+    aligned = order_minhash.alike
+
+    def counted(pairs, similarity):
+        judged.setdefault(bucket, []).extend((a.tobytes(), b.tobytes()) for a, b in pairs)
+        return aligned(pairs, similarity)
+
+    monkeypatch.setattr(order_minhash, "alike", counted)
+    links = []
+    for bucket in buckets:
+        columns = {"bucket": [bucket] * 61} | {c: [0] * 61 for c in ("i", "j", "block")}
+        columns |= {"tk": [k for k, _ in rows], "root": [k for k, _ in rows], "buckets": [buckets] * 61, "tokens": [t for _, t in rows]}
+        for out in order_minhash._judge(0.8)(iter([pa.RecordBatch.from_pydict(columns)])):
+            links += [frozenset(x.values()) for x in out.to_pylist()]
+    assert links == [frozenset((rows[0][0], rows[60][0]))]
+    assert sorted(map(sorted, sum(judged.values(), []))) == sorted(sorted((rows[i][1], rows[j][1])) for i in range(61) for j in range(i))
+    assert len(judged) == 8 and max(map(len, judged.values())) < 61 * 60 / 2 / 3
+
+
 # -- packing
 
 
