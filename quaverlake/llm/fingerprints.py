@@ -163,7 +163,7 @@ def _of(codes: np.ndarray, ranges: list[tuple[int, int]]) -> np.ndarray:
 
 
 def _compared(a: Tree, b: Tree) -> tuple[float, int | None, int | None]:
-    """Likeness, and from which byte of a's text to which its leaves differ from b's (null if none does)."""
+    """Likeness, and from which byte of a's text to which its leaves, in order, differ from b's (null if none does)."""
     if a.root == b.root:
         return 1.0, None, None
     left, right, covered = _open(a, b)
@@ -173,9 +173,12 @@ def _compared(a: Tree, b: Tree) -> tuple[float, int | None, int | None]:
     _, i, j = np.intersect1d(kinds, others, assume_unique=True, return_indices=True)
     total = len(a.codes) + len(b.codes)
     like = 2.0 * (covered + int(np.minimum(n[i], m[j]).sum())) / total if total else 0.0
-    places = np.concatenate([np.arange(x, y) for x, y in left]) if left else np.zeros(0, np.int64)
-    unlike = places[~np.isin(mine, others)]
-    return (like, int(a.begin[unlike].min()), int(a.end[unlike].max())) if len(unlike) else (like, None, None)
+    # a leaf may stand elsewhere too, so the edit is what lies between the leaves that both begin and end with
+    common = min(len(a.codes), len(b.codes))
+    low = int(np.argmin(np.append(a.codes[:common] == b.codes[:common], False)))
+    common -= low
+    high = len(a.codes) - int(np.argmin(np.append(a.codes[len(a.codes) - common :][::-1] == b.codes[len(b.codes) - common :][::-1], False)))
+    return (like, int(a.begin[low]), int(a.end[high - 1])) if low < high else (like, None, None)
 
 
 def _parsed(fingerprint: str) -> Tree:

@@ -230,6 +230,26 @@ def test_edit_is_located(spark):
         assert r["edit_from"] <= at + 1 < r["edit_to"] <= r["n_chars"] and at - r["edit_from"] < 300
 
 
+def test_edit_of_a_repeated_line_is_located():
+    """A changed line is located where it is, also if it stands elsewhere too; within one line, by its leaves."""
+    lines = ["one two", "red", "three", "red", "four", "red", "five"]
+    text = "".join(x + "\n" for x in lines)
+    for i, line in enumerate(lines):
+        edited = "".join(("blue" if k == i else x) + "\n" for k, x in enumerate(lines))
+        (_, a), (_, b) = fingerprints.fingerprints([text, edited])
+        begin = len("".join(x + "\n" for x in lines[:i]))
+        assert fingerprints._compared(a, b)[1:] == (begin, begin + len(line) + 1)
+    rng = np.random.default_rng(2)
+    words = [f"v{i}" for i in rng.integers(0, 12, 300)]
+    for i in range(0, 300, 7):
+        text, edited = " ".join(words), " ".join([*words[:i], "other", *words[i + 1 :]])
+        (_, a), (_, b) = fingerprints.fingerprints([text, edited])
+        _, low, high = fingerprints._compared(a, b)
+        assert low <= len(" ".join([*words[:i], ""])) < high
+    (_, a), (_, b) = fingerprints.fingerprints(["red\n", "red\nblue\n"])
+    assert fingerprints._compared(a, b)[1:] == (None, None)
+
+
 def test_tree_locates_edits():
     lines = [prose(20) for _ in range(12)]
     changed = [*lines[:5], lines[5] + " more", *lines[6:]]
