@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaverlake.plans.vocabulary import UNSPACED_LANGUAGES
@@ -73,6 +73,12 @@ def unit(a: Column | str, least: float = 1e-8) -> Column:
     return F.transform(_col(a), lambda x: x.cast("double") / n)
 
 
+def comparable(df: DataFrame, vector: str) -> DataFrame:
+    """``vector`` as ``__u``, its unit vector; null if it or a component is missing or not finite."""
+    units = df.withColumn("__u", unit(vector)).drop(vector)
+    return units.withColumn("__u", F.when(~F.exists("__u", lambda x: x.isNull() | F.isnan(x)), F.col("__u")))
+
+
 def cosine(a: Column | str, b: Column | str) -> Column:
     """Cosine, clipped to [-1, 1]."""
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot(a, b) / (norm(a, 1e-8) * norm(b, 1e-8))))

@@ -6,6 +6,8 @@ Fixed plans over one value (windows of a duration, offsets) are array expression
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,6 +127,44 @@ def rectangle_means(totals: DataFrame, rectangles: DataFrame, keys: Keys, total:
     return out.withColumn("mean", F.when(area > 0, (part["a"] - part["b"] - part["c"] + part["d"]) / area).otherwise(F.lit(0.0))).drop(*(f"__{n}" for n in corners))
 
 
+def similarity_rectangle_means(frames: DataFrame, rectangles: DataFrame, keys: Keys, index: str, vector: str) -> DataFrame:
+    """``rectangles`` (keys, i0, i1, j0, j1; ends exclusive) of the keys' self-similarity with their mean cosine.
+
+    A rectangle's sum is the dot product of its sides' sums of unit vectors, and these are differences of
+    running sums, so no pair is ever made. As among all pairs, those of a vector that is missing or not
+    finite are 1. No frame at all gives null, no area 0. One key's frames fit in one task; vectors of a key
+    have one length.
+    """
+    from quaverlake.functions.values import comparable, dot
+
+    own = comparable(frames.select(*keys, F.col(index).cast("long").alias("__at"), F.col(vector).alias("__v")), "__v")
+    ends = [rectangles.select(*keys, F.col(f"{c}0").cast("long").alias("__lo"), F.col(f"{c}1").cast("long").alias("__hi")) for c in "ij"]
+    sides = ends[0].unionByName(ends[1]).distinct()
+
+    def sums(vectors: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        vectors = vectors.sort_values("__at", kind="stable")
+        finite = vectors["__u"].notna().to_numpy()
+        units = np.stack(vectors["__u"].to_numpy()[finite]) if finite.any() else np.zeros((0, 0))
+        at, running = vectors["__at"].to_numpy(), np.vstack([np.zeros(units.shape[1]), units.cumsum(axis=0)])
+        good = np.append(0, finite.astype(np.int64).cumsum())
+        lo = np.searchsorted(at, wanted["__lo"].to_numpy())
+        hi = np.maximum(lo, np.searchsorted(at, wanted["__hi"].to_numpy()))
+        return wanted.assign(__n=hi - lo, __g=good[hi] - good[lo], __s=list(running[good[hi]] - running[good[lo]]))
+
+    kinds = ", ".join(f"`{k}` {rectangles.schema[k].dataType.simpleString()}" for k in keys)
+    summed = own.groupBy(*keys).cogroup(sides.groupBy(*keys)).applyInPandas(sums, f"{kinds}, __lo long, __hi long, __n long, __g long, __s array<double>")
+    out = rectangles
+    for c in "ij":
+        side = summed.select(*(F.col(k).alias(f"__{c}_{k}") for k in keys), *(F.col(f"__{x}").alias(f"__{x}{c}") for x in ("lo", "hi", "n", "g", "s")))
+        on = [F.col(k) == F.col(f"__{c}_{k}") for k in keys] + [F.col(f"{c}0") == F.col(f"__lo{c}"), F.col(f"{c}1") == F.col(f"__hi{c}")]
+        out = out.join(side, on, "left").drop(*(f"__{c}_{k}" for k in keys), f"__lo{c}", f"__hi{c}")
+    pairs = F.col("__ni") * F.col("__nj")
+    total = F.when(F.col("__gi") * F.col("__gj") > 0, dot("__si", "__sj")).otherwise(F.lit(0.0)) + pairs - F.col("__gi") * F.col("__gj")
+    empty = (F.col("i1") <= F.col("i0")) | (F.col("j1") <= F.col("j0"))
+    mean = F.when(empty, F.lit(0.0)).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(total, pairs))))
+    return out.withColumn("mean", F.when(empty | (pairs > 0), mean)).drop(*(f"__{x}{c}" for c in "ij" for x in "ngs"))
+
+
 def window_ranges(duration: Column | str, window: float = 10.0, hop: float = 10.0, least_tail: float = 2.0) -> Column:
     """Windows over a duration; a tail under ``least_tail`` joins the window before it.
 

@@ -185,3 +185,30 @@ def test_functional_structure(spark):
     # flat stretches near the ends stand out too, as what lies outside counts as zero
     assert 25.0 in {r["start"] for r in out} and all(r["label"] == int(r["start"] >= 25) for r in out)
     assert [r["start"] for r in out[1:]] == [r["end"] for r in out[:-1]] and out[0]["start"] == 0 and out[-1]["end"] == 60
+
+
+def _odd_frames(spark):
+    rng = np.random.default_rng(11)
+    rows = [("a", i, rng.standard_normal(6).tolist()) for i in range(23)] + [("b", i, rng.standard_normal(4).tolist()) for i in range(7)] + [("c", 0, [1.0, 0.0])]
+    rows[3], rows[8], rows[11] = ("a", 3, None), ("a", 8, [0.0] * 6), ("a", 11, [1.0, float("inf"), *[0.0] * 4])
+    return spark.createDataFrame(rows, "k string, i long, v array<double>")
+
+
+def test_rectangles_of_self_similarity_without_pairs(spark):
+    frames = _odd_frames(spark)
+    pairs = {(r["k"], r["i"], r["j"]): r["value"] for r in J.similarity_pairs(frames, ["k"], "i", "v").collect()}
+    rectangles = [("a", 0, 23, 0, 23), ("a", 2, 9, 10, 20), ("a", 3, 4, 0, 5), ("a", 11, 12, 8, 12), ("a", 5, 5, 0, 3), ("a", 20, 40, 0, 3), ("b", 1, 6, 1, 6), ("c", 0, 1, 0, 1), ("none", 0, 2, 0, 2)]
+    given = spark.createDataFrame(rectangles, "k string, i0 long, i1 long, j0 long, j1 long")
+    got = {(r["k"], r["i0"], r["i1"], r["j0"], r["j1"]): r["mean"] for r in S.similarity_rectangle_means(frames, given, ["k"], "i", "v").collect()}
+    assert set(got) == set(rectangles)
+    for k, i0, i1, j0, j1 in rectangles:
+        held = [pairs[k, i, j] for i in range(i0, i1) for j in range(j0, j1) if pairs.get((k, i, j)) is not None]
+        want = 0.0 if i0 == i1 else float(np.mean(held)) if held else None
+        assert got[k, i0, i1, j0, j1] == (want if want is None else pytest.approx(want, abs=1e-12))
+
+
+def test_rectangle_query_makes_no_pairs(spark, data, monkeypatch):
+    from quaverlake.queries import QUERIES
+
+    monkeypatch.setattr(J, "similarity_pairs", lambda *a: pytest.fail("pairs were made"))
+    assert QUERIES["rectangle_means"](spark, data).count() > 0
