@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -221,6 +223,57 @@ def similarity_pairs(frames: DataFrame, keys: Keys, index: str, vector: str) ->
     return pairs.select(*keys, "i", "j", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot("__v", "__w"))).alias("value"))
 
 
+def similarity_rows(frames: DataFrame, keys: Keys, index: str, vector: str, block: int = 8192, chunk: int = 256) -> DataFrame:
+    """(keys, index, mean, nearest): of each frame's cosines with all frames of its key the mean, and the largest with another.
+
+    Exact over all pairs, so the work is quadratic in a key's frames; it is spread over pairs of blocks, and a
+    task holds two blocks and ``chunk`` rows of cosines. As among all pairs, those of a vector that is missing
+    or not finite are 1. Vectors of a key have one length.
+    """
+    from quaverlake.functions.values import comparable
+
+    group = Window.partitionBy(*keys)
+    place = F.floor((F.row_number().over(group.orderBy(index)) - 1) / block).cast("int")
+    own = comparable(frames.select(*keys, index, F.col(vector).alias("__v")), "__v").withColumn("__own", place)
+    blocks = own.withColumn("__last", F.max("__own").over(group)).withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__last")))).drop("__last")
+    dealt = blocks.withColumns({"__a": F.least("__own", "__other"), "__b": F.greatest("__own", "__other")}).drop("__other")
+    names = [*keys, index]
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        finite = rows["__u"].notna().to_numpy()
+        width = len(rows["__u"].to_numpy()[finite][0]) if finite.any() else 0
+        x = np.zeros((len(rows), width))
+        if finite.any():
+            x[finite] = np.stack(rows["__u"].to_numpy()[finite])
+        n, total, nearest = np.zeros(len(rows), np.int64), np.zeros(len(rows)), np.full(len(rows), -np.inf)
+        side = rows["__own"].to_numpy()
+        a, b = rows["__a"].iloc[0], rows["__b"].iloc[0]
+        left, right = np.flatnonzero(side == a), np.flatnonzero(side == b)
+        for some, others in [(left, right)] if a == b else [(left, right), (right, left)]:
+            n[some] = len(others)
+            odd = len(others) - finite[others].sum()
+            total[some] = np.where(finite[some], x[some] @ x[others].sum(axis=0) + odd, len(others))
+        y, strange = x[right], ~finite[right]
+        for low in range(0, len(left), chunk):
+            some = left[low : low + chunk]
+            m = x[some] @ y.T
+            m[~finite[some]] = 1.0
+            m[:, strange] = 1.0
+            if a == b:
+                m[np.arange(len(some)), np.arange(low, low + len(some))] = -np.inf
+            if m.size:
+                nearest[some] = m.max(axis=1)
+                if a != b:
+                    nearest[right] = np.maximum(nearest[right], m.max(axis=0))
+        nearest = np.where(np.isfinite(nearest), np.clip(nearest, -1.0, 1.0), np.nan)
+        return rows[names].assign(__n=n, __total=total, __nearest=nearest)
+
+    kinds = ", ".join(f"`{k}` {frames.schema[k].dataType.simpleString()}" for k in names)
+    found = dealt.groupBy(*keys, "__a", "__b").applyInPandas(compare, f"{kinds}, __n long, __total double, __nearest double")
+    mean = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.sum("__total") / F.sum("__n")))
+    return found.groupBy(*names).agg(mean.alias("mean"), F.max("__nearest").alias("nearest"))
+
+
 def lookup(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Inner join with segment metadata; rows without any are left out. Spark broadcasts a side it knows to be small."""
     return rows.join(table, key)

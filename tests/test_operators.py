@@ -212,3 +212,25 @@ def test_rectangle_query_makes_no_pairs(spark, data, monkeypatch):
 
     monkeypatch.setattr(J, "similarity_pairs", lambda *a: pytest.fail("pairs were made"))
     assert QUERIES["rectangle_means"](spark, data).count() > 0
+
+
+def test_similarity_rows_block_against_block(spark):
+    frames = _odd_frames(spark)
+    held: dict = {}
+    for r in J.similarity_pairs(frames, ["k"], "i", "v").collect():
+        held.setdefault((r["k"], r["i"]), {})[r["j"]] = r["value"]
+    for block in (4, 100):
+        rows = J.similarity_rows(frames, ["k"], "i", "v", block, 3).collect()
+        assert len(rows) == len(held)
+        for r in rows:
+            own = held[r["k"], r["i"]]
+            others = [v for j, v in own.items() if j != r["i"]]
+            assert r["mean"] == pytest.approx(np.mean(list(own.values())), abs=1e-12)
+            assert r["nearest"] == (pytest.approx(max(others), abs=1e-12) if others else None)
+
+
+def test_similarity_query_joins_no_frames(spark, data, monkeypatch):
+    from quaverlake.queries import QUERIES
+
+    monkeypatch.setattr(J, "similarity_pairs", lambda *a: pytest.fail("pairs were joined"))
+    assert QUERIES["self_similarity"](spark, data).count() == 500
