@@ -234,3 +234,40 @@ def test_similarity_query_joins_no_frames(spark, data, monkeypatch):
 
     monkeypatch.setattr(J, "similarity_pairs", lambda *a: pytest.fail("pairs were joined"))
     assert QUERIES["self_similarity"](spark, data).count() == 500
+
+
+def test_instrumental_decoder_against_the_whole_matrix():
+    rng = np.random.default_rng(21)
+    x = np.repeat(rng.standard_normal((5, 12)), 30, axis=0) + 0.2 * rng.standard_normal((150, 12))
+    y = I.unit_rows(x)
+    m = y @ y.T
+    want, active = np.zeros(150), np.zeros(150)
+    for r in (4, 8, 16):
+        curve = np.zeros(150)
+        for t in range(r, 150 - r):
+            a, b = slice(t - r, t), slice(t, t + r)
+            curve[t] = max(0.0, (m[a, a].mean() + m[b, b].mean() - m[a, b].mean() - m[b, a].mean()) / 2)
+        want += np.minimum(curve / np.quantile(curve[curve > 0], 0.95), 1.0)
+        active += curve > 0
+    want = I.gaussian(want / np.maximum(active, 1.0), 0.7)
+    want[:4] = want[-4:] = 0.0
+    assert np.allclose(I.novelty(y, 2.0), (want - want.min()) / (want.max() - want.min()), atol=1e-9)
+    for cut in (0.1, 0.5, 0.9, 1.1):
+        clusters = [[i] for i in range(60)]
+        while len(clusters) > 1:
+            d, a, b = min((1 - m[np.ix_(p, q)].mean(), i, j) for i, p in enumerate(clusters) for j, q in enumerate(clusters) if i < j)
+            if d > cut:
+                break
+            clusters[a] += clusters.pop(b)
+        assert {tuple(sorted(c)) for c in clusters} == {tuple(np.flatnonzero(I.average_linkage(y[:60], cut) == c)) for c in set(I.average_linkage(y[:60], cut).tolist())}
+
+
+def test_instrumental_decoder_memory_is_linear():
+    import tracemalloc
+
+    x = np.random.default_rng(4).standard_normal((4000, 8))
+    tracemalloc.start()
+    out = I.decode_instrumental(x, 2000.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out["end"].iloc[-1] == 2000.0 and peak < 4000 * 4000 * 8 / 4  # the matrix alone would be 128 MB
