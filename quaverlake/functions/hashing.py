@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import groupby
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,25 +14,53 @@ def content_id(content: Column | str) -> Column:
     return F.sha2(F.col(content) if isinstance(content, str) else content, 256)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is worked out once, however often it is named."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def json_float(c: Column | str) -> Column:
     """Shortest decimal of a double: plain from 1e-4 up to 1e16, else with an exponent of two digits or more; null stays null.
 
-    The fewest of 15, 16 and 17 digits that read back as the same number are taken, as
-    the JVM's own text is not always the shortest. Subnormal numbers may keep a digit more.
+    A number of at most six places below 1e9 is written from its millionths: it has at most 15 digits, and
+    no two such decimals read as one double. Of others the fewest of 15, 16 and 17 digits that read back as
+    the same number are taken, as the JVM's own text is not always the shortest. Subnormal numbers may keep
+    a digit more.
     """
-    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    return _let((F.col(c) if isinstance(c, str) else c).cast("double"), lambda x: F.when(F.abs(x) < 1e9, _let(F.rint(x * 1e6).cast("long"), lambda n: F.when((n / 1e6 == x) & (F.abs(n) >= 100), _millionths(n)).otherwise(_digits(x)))).otherwise(_digits(x)))
+
+
+def _millionths(n: Column) -> Column:
+    size = F.abs(n)
+    places = F.rtrim(F.lpad((size % 1000000).cast("string"), 6, "0"), F.lit("0"))
+    return F.concat(F.when(n < 0, "-").otherwise(""), F.floor(size / 1000000).cast("string"), F.lit("."), F.when(size % 1000000 == 0, "0").otherwise(places))
+
+
+def _digits(x: Column) -> Column:
     digits = lambda n: F.format_string(f"%.{n - 1}e", x)
-    written = F.when(digits(15).cast("double") == x, digits(15)).when(digits(16).cast("double") == x, digits(16)).otherwise(digits(17))
-    sign, head = F.regexp_extract(written, "^(-?)", 1), F.regexp_extract(written, "^-?([0-9])", 1)
-    tail, power = F.regexp_extract(written, "\\.([0-9]*?)0*e", 1), F.regexp_extract(written, "e([+-][0-9]+)$", 1).try_cast("int")
+    parsed = lambda t: t.cast("double") == x
+    written = _let(digits(15), lambda a: F.when(parsed(a), a).otherwise(_let(digits(16), lambda b: F.when(parsed(b), b).otherwise(digits(17)))))
+    parts = lambda t: F.struct(
+        t.alias("t"),
+        F.regexp_extract(t, "^(-?)", 1).alias("sign"),
+        F.regexp_extract(t, "^-?([0-9])", 1).alias("head"),
+        F.regexp_extract(t, "\\.([0-9]*?)0*e", 1).alias("tail"),
+        F.regexp_extract(t, "e([+-][0-9]+)$", 1).alias("exponent"),
+    )
+    power = lambda p: p["exponent"].try_cast("int")
+    text = _let(_let(written, parts), lambda p: _let(power(p), lambda e: F.when(e.isNull(), p["t"]).otherwise(F.concat(p["sign"], _placed(p, e)))))
+    return F.when(x == 0, x.cast("string")).when(x.isNotNull(), text)
+
+
+def _placed(p: Column, power: Column) -> Column:
+    """Sign left out, a number's digits around the point, or with its exponent."""
+    head, tail = p["head"], p["tail"]
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), head, tail)
     filled = F.concat(head, F.rpad(tail, F.greatest(F.length(tail), power), "0"))
     rest = F.substr(filled, power + 2)
     large = F.concat(F.substr(filled, F.lit(1), power + 1), F.lit("."), F.when(rest == "", "0").otherwise(rest))
-    exponent = F.regexp_extract(written, "(e[+-][0-9]+)$", 1)
-    wide = F.concat(head, F.when(tail != "", F.concat(F.lit("."), tail)).otherwise(""), exponent)
-    plain = F.when((power < 0) & (power >= -4), small).when((power >= 0) & (power < 16), large).otherwise(wide)
-    return F.when(x.isNotNull(), F.when(power.isNull(), written).otherwise(F.concat(sign, plain)))
+    wide = F.concat(head, F.when(tail != "", F.concat(F.lit("."), tail)).otherwise(""), F.lit("e"), p["exponent"])
+    return F.when((power < 0) & (power >= -4), small).when((power >= 0) & (power < 16), large).otherwise(wide)
 
 
 def canonical(fields: dict[str, Column], floats: tuple[str, ...] = ()) -> Column:
@@ -41,9 +72,10 @@ def canonical(fields: dict[str, Column], floats: tuple[str, ...] = ()) -> Column
     whole = {"ignoreNullFields": "false"}
     if not floats:
         return F.to_json(F.struct(*(fields[k].alias(k) for k in sorted(fields))), whole)
-    inner = lambda k: F.regexp_replace(F.to_json(F.struct(fields[k].alias(k)), whole), "^\\{|\\}$", "")
-    part = lambda k: F.concat(F.lit(f'"{k}":'), F.coalesce(json_float(fields[k]), F.lit("null"))) if k in floats else inner(k)
-    return F.concat(F.lit("{"), F.concat_ws(",", *(part(k) for k in sorted(fields))), F.lit("}"))
+    inner = lambda names: _let(F.to_json(F.struct(*(fields[k].alias(k) for k in names)), whole), lambda t: F.substr(t, F.lit(2), F.length(t) - 2))
+    part = lambda k: F.concat(F.lit(f'"{k}":'), F.coalesce(json_float(fields[k]), F.lit("null")))
+    parts = [p for given, names in groupby(sorted(fields), lambda k: k in floats) for p in (map(part, names) if given else [inner(list(names))])]
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
 def fingerprint(fields: dict[str, Column], floats: tuple[str, ...] = ()) -> Column:

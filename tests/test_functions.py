@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,3 +142,13 @@ def test_require_relpath_from(spark):
     for bad in (F.lit("/else/b.wav"), F.lit(None).cast("string")):
         with pytest.raises(Exception, match="outside the input root"):
             spark.range(1).select(paths.require_relpath_from(bad, "/in")).collect()
+
+
+def test_json_float_formats_each_number_once(spark):
+    rng = random.Random(5)
+    numbers = [rng.choice([-1, 1]) * rng.randrange(10**k) / 10**p for k in (1, 3, 7, 12, 15) for p in range(9) for _ in range(12)]
+    numbers += [rng.uniform(-1, 1) * 10.0 ** rng.randrange(-12, 16) for _ in range(400)] + [99e-6, 1e-4, 101e-6, 999999999.999999, 1e9, 0.1 + 0.2, 1.0000001, 5e-7, 2.5e-6]
+    rows = spark.createDataFrame([(v,) for v in numbers], "v double").select("v", hashing.json_float("v").alias("s"))
+    assert all(r["s"] == json.dumps(r["v"]) for r in rows.collect())
+    # a form for 15, 16 and 17 digits each; nothing is worked out again for every part of the text
+    assert rows._jdf.queryExecution().analyzed().toString().count("format_string(") <= 3
