@@ -27,7 +27,7 @@ def json_float(c: Column | str) -> Column:
     the same number are taken, as the JVM's own text is not always the shortest. Subnormal numbers may keep
     a digit more.
     """
-    return _let((F.col(c) if isinstance(c, str) else c).cast("double"), lambda x: F.when(F.abs(x) < 1e9, _let(F.rint(x * 1e6).cast("long"), lambda n: F.when((n / 1e6 == x) & (F.abs(n) >= 100), _millionths(n)).otherwise(_digits(x)))).otherwise(_digits(x)))
+    return _let((F.col(c) if isinstance(c, str) else c).cast("double"), lambda x: _let(F.when(F.abs(x) < 1e9, F.rint(x * 1e6).cast("long")), lambda n: F.when((n / 1e6 == x) & (F.abs(n) >= 100), _millionths(n)).otherwise(_digits(x))))
 
 
 def _millionths(n: Column) -> Column:
