@@ -271,3 +271,29 @@ def test_instrumental_decoder_memory_is_linear():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert out["end"].iloc[-1] == 2000.0 and peak < 4000 * 4000 * 8 / 4  # the matrix alone would be 128 MB
+
+
+def test_sections_of_all_tracks_cross_to_python_in_batches(spark):
+    rng, rows, beats = np.random.default_rng(8), [], []
+    for t in range(40):
+        ends = np.round(np.cumsum(rng.uniform(0.5, 15, rng.integers(1, 14))), 3).tolist()
+        own = [(f"t{t}", ends[-1], str(rng.choice(["verse", "chorus", "intro"])), s, e, None if rng.random() < 0.1 else float(rng.random())) for s, e in zip([0.0, *ends], ends, strict=False)]
+        rows += [own[i] for i in rng.permutation(len(own))]
+        beats += [(f"t{t}", float(b)) for b in rng.uniform(0, ends[-1], rng.integers(0, 30) * (t % 3 > 0))]
+    beats.append(("without sections", 1.0))
+    schema = "k string, duration double, label string, raw_start double, raw_end double, boundary_confidence double"
+    df, times = spark.createDataFrame(rows, schema), spark.createDataFrame(beats, "k string, time double")
+    for known in (None, times):
+        out = I.postprocess_sections(df, "k", known)
+        got: dict = {}
+        for r in out.collect():
+            got.setdefault(r["k"], []).append(tuple(r)[1:])
+        assert len(got) == 40
+        for t, sections in got.items():
+            own = pd.DataFrame([r[1:] for r in rows if r[0] == t], columns=["duration", "label", "raw_start", "raw_end", "boundary_confidence"])
+            near = sorted(b for k, b in beats if k == t) if known is not None else []
+            want = I.SectionCleaner(own, own["duration"].iloc[0], np.array(near, float), I.Tolerances()).run()
+            assert sorted(sections) == list(want.itertuples(index=False, name=None))
+        # one call of Python for all tracks of a batch, whose few bytes AQE does not put into one task
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "FlatMap" not in plan and "Repartition" in plan
